@@ -212,11 +212,8 @@ def spike_params(spark, d):
 
 
 def _flags(spark, d, rule):
-    kept = volumes.remove_negatives(volumes.plain_volumes(v.all_volumes(spark, d), v.GRAIN))
-    buckets = volumes.volume_buckets(v.all_volumes(spark, d), None, v.GRAIN)
-    flagged = volumes.flag_spikes(
-        kept, volumes.spike_params(kept), rule=rule, buckets=buckets, grain=v.GRAIN
-    )
+    kept = volumes.remove_negatives(volumes.plain_volumes(v.all_volumes(spark, d)))
+    flagged = volumes.flag_spikes(kept, volumes.spike_params(kept), rule=rule)
     return flagged.select("site", "date_time", "vol", "sd5", "sd10", "sd20")
 
 
@@ -318,17 +315,10 @@ def moving_avg_consent(spark, d):
 # --- statistics -----------------------------------------------------------------------
 
 
-def _rollup(vols, buckets=None):
-    flagged = volumes.flag_spikes(
-        vols, volumes.spike_params(vols), buckets=buckets, grain=v.GRAIN
-    )
-    return summaries.day_rollup(flagged)
-
-
 @query
 def daily_stats(spark, d):
-    buckets = volumes.volume_buckets(v.readings(spark, d), _plan(spark, d), v.GRAIN)
-    daily = summaries.daily_stats(_rollup(_stitched(spark, d), buckets))
+    flagged = reports.flagged_volumes(v.readings(spark, d), _plan(spark, d), v.GRAIN)
+    daily = summaries.daily_stats(summaries.day_rollup(flagged))
     return daily.select("site", "date", "measurement", "reports", "sd5", "sd10", "sd20")
 
 
@@ -339,7 +329,8 @@ def monthly_extraction(spark, d):
 
 @query
 def monthly_stats(spark, d):
-    return reports.monthly_statistics(volumes.plain_volumes(v.long_series(spark, d)))
+    vols = volumes.plain_volumes(v.long_series(spark, d))
+    return reports.monthly_statistics(volumes.flag_spikes(vols, volumes.spike_params(vols)))
 
 
 @query
@@ -428,6 +419,11 @@ def consent_limits(spark, d):
     return rounded(limits, 2, "max_rate", "multiday_vol")
 
 
+@query
+def consent_site_limits(spark, d):
+    return rounded(con.site_limits(v.consents(spark, d)), 2, "max_rate", "multiday_vol")
+
+
 @query
 def daily_series(spark, d):
     vols = volumes.plain_volumes(v.long_series(spark, d))

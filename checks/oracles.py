@@ -554,6 +554,7 @@ _add(
     f"SELECT ext_site_id, {even('max_rate', 2)} AS max_rate, {even('multiday_vol', 2)} AS multiday_vol, return_period, "
     "max_vol FROM lim",
 )
+ORACLES["consent_site_limits"] = ORACLES["consent_limits"]
 _SERIES = f"""site, {iso("date")} AS date, strftime(date, '%Y-%m') AS month, CAST(day(date) AS INTEGER) AS day,
   coalesce(readings, 0) AS readings, volume, {even(f"volume * {RATE}", 6)} AS rate"""
 _add(

@@ -75,6 +75,43 @@ def effective_consents(consents: DataFrame) -> DataFrame:
     return consents.join(choice, "ext_site_id").filter(chosen).drop("_has_active", "_latest")
 
 
+def site_limits(consents: DataFrame) -> DataFrame:
+    """Limits of the effective permits, straight from all permits.
+
+    Same result as ``consent_limits(effective_consents(...))`` from one
+    aggregate: permits are summed per end date, then the active sums or those
+    of the latest date are picked. No permit is joined or sorted.
+    """
+    active = F.coalesce(F.col("consent_status") == ACTIVE_CONSENT, F.lit(False))
+    by_date = consents.groupBy("ext_site_id", active.alias("active"), "to_date").agg(
+        F.sum("consented_rate").alias("rate"),
+        F.sum("consented_multiday_volume").alias("volume"),
+        F.max("consented_multiday_period").alias("period"),
+    )
+    when_active = {c: F.when(F.col("active"), F.col(c)) for c in ("rate", "volume", "period")}
+    picked = by_date.groupBy("ext_site_id").agg(
+        F.max("active").alias("has_active"),
+        F.struct(
+            F.sum(when_active["rate"]).alias("rate"),
+            F.sum(when_active["volume"]).alias("volume"),
+            F.max(when_active["period"]).alias("period"),
+        ).alias("sums"),
+        F.max_by(F.struct("rate", "volume", "period"), F.col("to_date")).alias("latest"),
+    )
+    chosen = F.when(F.col("has_active"), F.col("sums")).otherwise(F.col("latest"))
+    return (
+        picked.select("ext_site_id", chosen.alias("c"))
+        .filter(F.col("c").isNotNull())
+        .select(
+            "ext_site_id",
+            F.coalesce("c.rate", F.lit(0.0)).alias("max_rate"),
+            F.coalesce("c.volume", F.lit(0.0)).alias("multiday_vol"),
+            F.col("c.period").cast("bigint").alias("return_period"),
+        )
+        .withColumn("max_vol", rate_to_daily_volume(F.col("max_rate")))
+    )
+
+
 def consent_limits(effective: DataFrame) -> DataFrame:
     """Rate, daily volume, multi-day volume and period per take point."""
     return (

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterqa.functions.calendar import month_label
-from meterqa.operators.lagged import GRAINS, bucket_ends, previous_reading, with_buckets
-from meterqa.operators.series import accepted_measurements, in_segments
+from meterqa.operators.lagged import previous_reading, with_buckets
+from meterqa.operators.series import accepted_measurements
 from meterqa.schema import SPIKE_MULTIPLES, WATER_METER
 
 SERIES = ["site", "measurement"]
@@ -20,6 +20,7 @@ def register_to_volume(
     plan: DataFrame | None = None,
     boundary: str = "combined",
     grain: str = "day",
+    per_site: DataFrame | None = None,
 ) -> DataFrame:
     """Readings of accepted measurements with ``vol``.
 
@@ -28,6 +29,7 @@ def register_to_volume(
     previous reading of the stitched site series, so the first register reading
     after another measurement is compared with that measurement's last value
     (needs ``plan``). ``boundary='reset'`` starts every measurement afresh.
+    Columns of ``per_site``, such as spike limits, come along with the buckets.
     """
     if boundary == "combined":
         if plan is None:
@@ -37,7 +39,9 @@ def register_to_volume(
         series = SERIES
     else:
         raise ValueError(f"unknown boundary {boundary!r}")
-    rows = previous_reading(accepted_measurements(readings), SERIES, series, grain, plan)
+    rows = previous_reading(
+        accepted_measurements(readings), SERIES, series, grain, plan, per_series=per_site
+    )
     vol = F.when(
         F.col("measurement") == WATER_METER, F.col("value") - F.col("prev_value")
     ).otherwise(F.col("value"))
@@ -49,15 +53,6 @@ def plain_volumes(readings: DataFrame, grain: str = "day") -> DataFrame:
     return with_buckets(readings, grain).withColumn("vol", F.col("value"))
 
 
-def volume_buckets(readings: DataFrame, plan: DataFrame | None, grain: str = "day") -> DataFrame:
-    """The series buckets :func:`register_to_volume` keeps, one row each."""
-    rows = accepted_measurements(readings)
-    ends = bucket_ends(with_buckets(rows, grain), SERIES, grain)
-    if plan is not None:
-        ends = in_segments(ends, plan, F.col("date"))
-    return ends.select(*SERIES, *GRAINS[grain])
-
-
 def remove_negatives(volumes: DataFrame) -> DataFrame:
     """Null volumes (a register's first reading) go as well."""
     return volumes.filter(F.col("vol") >= 0)
@@ -92,40 +87,43 @@ def spike_params(volumes: DataFrame, keys: Sequence[str] = ("site",)) -> DataFra
     )
 
 
-def flag_spikes(
-    volumes: DataFrame,
-    params: DataFrame,
-    rule: str = "sum",
-    gate: str = "kept_rows",
-    buckets: DataFrame | None = None,
-    grain: str = "day",
-) -> DataFrame:
-    """Add ``sd5``, ``sd10``, ``sd20``: 1 where a volume exceeds the limit.
-
-    Limits apply to sites with a deviation of at least 1 and more than 100 rows
-    (``gate`` names the count). ``rule='product'`` is the older mean * sd * k.
+def spike_limits(params: DataFrame, rule: str = "sum", gate: str = "kept_rows") -> DataFrame:
+    """Limits per site, null where they do not apply.
 
-    With ``buckets`` the limits first go to the site's buckets and then to the
-    volumes by series and bucket, the keys the volumes are already shuffled by;
-    joining on the site alone would move every row of a site to one place.
+    A site needs a deviation of at least 1 and more than 100 rows, counted by
+    ``gate``. ``rule='product'`` is the older mean * sd * k.
     """
+    mean, sd = F.col("mean"), F.col("sd")
     if rule == "sum":
-        limit = {k: F.col("mean") + F.col("sd") * F.lit(k) for k in SPIKE_MULTIPLES}
+        limit = {k: mean + sd * F.lit(k) for k in SPIKE_MULTIPLES}
     elif rule == "product":
-        limit = {k: F.col("mean") * F.col("sd") * F.lit(k) for k in SPIKE_MULTIPLES}
+        limit = {k: mean * sd * F.lit(k) for k in SPIKE_MULTIPLES}
     else:
         raise ValueError(f"unknown rule {rule!r}")
-    armed = (F.col("sd") >= 1) & (F.col(gate) > 100)
-    limits = params.select(
-        "site", *[F.when(armed, value).alias(f"_limit{k}") for k, value in limit.items()]
+    armed = (sd >= 1) & (F.col(gate) > 100)
+    return params.select(
+        "site", *[F.when(armed, value).alias(f"limit{k}") for k, value in limit.items()]
     )
-    if buckets is None:
-        joined = volumes.join(limits, "site", "left")
-    else:
-        on = [*SERIES, *GRAINS[grain]]
-        joined = volumes.join(buckets.select(*on).join(limits, "site", "left"), on, "left")
+
+
+def mark_spikes(volumes: DataFrame) -> DataFrame:
+    """``sd5``, ``sd10``, ``sd20`` of volumes that carry their limits."""
     flags = {
-        f"sd{k}": F.when(F.col("vol") > F.col(f"_limit{k}"), 1).otherwise(0)
+        f"sd{k}": F.when(F.col("vol") > F.col(f"limit{k}"), 1).otherwise(0)
         for k in SPIKE_MULTIPLES
     }
-    return joined.withColumns(flags).drop(*[f"_limit{k}" for k in SPIKE_MULTIPLES])
+    return volumes.withColumns(flags).drop(*[f"limit{k}" for k in SPIKE_MULTIPLES])
+
+
+def flag_spikes(
+    volumes: DataFrame, params: DataFrame, rule: str = "sum", gate: str = "kept_rows"
+) -> DataFrame:
+    """Add 1 where a volume exceeds its site's limit, else 0.
+
+    The limits join by site and day, spread over the days first, so that no
+    site's volumes meet in one task. Where volumes come from
+    :func:`register_to_volume`, pass the limits there instead.
+    """
+    days = volumes.select("site", "date").distinct()
+    by_day = days.join(spike_limits(params, rule, gate), "site", "left")
+    return mark_spikes(volumes.join(by_day, ["site", "date"], "left"))

@@ -139,14 +139,7 @@ def quality_combined(
     rows = for_keys(observations, "site", requested.select("site"))
     cat = for_keys(catalog, "site", requested.select("site"))
     processed = series.process_catalog(cat)
-    plan = series.stitch_plan(processed)
-    vols = volumes.register_to_volume(rows, plan, grain=grain)
-    flagged = volumes.flag_spikes(
-        vols,
-        volumes.spike_params(vols),
-        buckets=volumes.volume_buckets(rows, plan, grain),
-        grain=grain,
-    )
+    flagged = flagged_volumes(rows, series.stitch_plan(processed), grain)
     types = series.accepted_measurements(cat).groupBy("site").agg(
         F.count(F.lit(1)).alias("meas_types")
     )
@@ -173,14 +166,14 @@ def quality_by_measurement(
     params = volumes.spike_params(
         volumes.register_to_volume(rows, series.stitch_plan(processed), grain=grain)
     )
-    own = series.whole_extent_plan(processed)
-    vols = volumes.register_to_volume(rows, own, boundary="reset", grain=grain)
-    flagged = volumes.flag_spikes(
-        vols,
-        params,
-        gate="positive_rows",
-        buckets=volumes.volume_buckets(rows, own, grain),
-        grain=grain,
+    flagged = volumes.mark_spikes(
+        volumes.register_to_volume(
+            rows,
+            series.whole_extent_plan(processed),
+            boundary="reset",
+            grain=grain,
+            per_site=volumes.spike_limits(params, gate="positive_rows"),
+        )
     )
     stats = summaries.quality_summary(
         summaries.day_rollup(flagged), ["site", "measurement"]
@@ -206,12 +199,24 @@ def stitched_volumes(
     return volumes.register_to_volume(rows, series.stitch_plan(processed), grain=grain)
 
 
-def monthly_statistics(
-    vols: DataFrame, buckets: DataFrame | None = None, grain: str = "day", rule: str = "sum"
+def flagged_volumes(
+    readings: DataFrame, plan: DataFrame, grain: str = "day", rule: str = "sum"
 ) -> DataFrame:
-    flagged = volumes.flag_spikes(
-        vols, volumes.spike_params(vols), rule=rule, buckets=buckets, grain=grain
+    """Stitched volumes with spike flags.
+
+    The readings are read from one shuffle twice, for the limits and for the
+    flags; the limits travel with the series buckets.
+    """
+    params = volumes.spike_params(volumes.register_to_volume(readings, plan, grain=grain))
+    return volumes.mark_spikes(
+        volumes.register_to_volume(
+            readings, plan, grain=grain, per_site=volumes.spike_limits(params, rule)
+        )
     )
+
+
+def monthly_statistics(flagged: DataFrame) -> DataFrame:
+    """Monthly statistics of volumes with spike flags."""
     return summaries.monthly_stats(summaries.daily_stats(summaries.day_rollup(flagged)))
 
 
@@ -231,9 +236,7 @@ def monthly_pack(
     return {
         "measurements": processed,
         "negatives_removed": volumes.negatives_by_month(vols),
-        "monthly_statistics": monthly_statistics(
-            vols, volumes.volume_buckets(rows, plan, grain), grain
-        ),
+        "monthly_statistics": monthly_statistics(flagged_volumes(rows, plan, grain)),
     }
 
 
@@ -269,7 +272,7 @@ def daily_series_consent(vols: DataFrame, consents: DataFrame) -> DataFrame:
     Limits belong to the take point and apply to each of its meters; sites
     without a permit keep nulls.
     """
-    limits = con.consent_limits(con.effective_consents(consents))
+    limits = con.site_limits(consents)
     grid = _water_year_grid(vols).withColumn("ext_site_id", external_site(F.col("site")))
     grid = grids.moving_average_by_period(
         grid.join(limits, "ext_site_id", "left"), "return_period"
