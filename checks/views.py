@@ -33,6 +33,20 @@ def meter(k: Column) -> Column:
     return F.concat(ext(k), F.lit("-M1"))
 
 
+def _one_of_ten(k: Column, suffix: str) -> Column:
+    """``ext`` of ``k % 10`` by lookup; the big tables need no string building per row."""
+    names = F.array(*[F.lit(f"BU{i:02d}/{i:04d}{suffix}") for i in range(10)])
+    return names[(k % 10).cast("int")]
+
+
+def ext_of_ten(k: Column) -> Column:
+    return _one_of_ten(k, "")
+
+
+def meter_of_ten(k: Column) -> Column:
+    return _one_of_ten(k, "-M1")
+
+
 def _at(day: str) -> Column:
     return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
 
@@ -62,7 +76,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Stage")
     )
     return table(spark, sf_dir, "events").select(
-        meter(F.col("user_id") % 10).alias("site"),
+        meter_of_ten(F.col("user_id")).alias("site"),
         measurement.alias("measurement"),
         ts.alias("date_time"),
         _event_value().alias("value"),
@@ -81,7 +95,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a volume."""
     return table(spark, sf_dir, "events").select(
-        meter(F.col("user_id") % 10).alias("site"),
+        meter_of_ten(F.col("user_id")).alias("site"),
         F.lit("Volume").alias("measurement"),
         F.col("ts").alias("date_time"),
         _event_value().alias("value"),
@@ -103,7 +117,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     return table(spark, sf_dir, "events").select(
-        meter(F.col("user_id") % 10).alias("site_id"),
+        meter_of_ten(F.col("user_id")).alias("site_id"),
         attribute[F.col("event_type")].alias("attribute_name"),
         F.concat(F.lit("S"), (F.col("event_id") % 3).cast("string")).alias("data_source"),
         _event_value().alias("observation_value"),
@@ -119,7 +133,7 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.make_date(F.year(shipped), F.lit(8), F.lit(13)),
     ).otherwise(shipped)
     return table(spark, sf_dir, "lineitem").select(
-        meter(F.col("l_suppkey") % 10).alias("site"),
+        meter_of_ten(F.col("l_suppkey")).alias("site"),
         F.lit("Volume").alias("measurement"),
         day.cast("timestamp_ntz").alias("date_time"),
         F.col("l_quantity").alias("value"),
@@ -139,7 +153,7 @@ def mode_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         | ((index == 9) & age.isin(100, 200, 300))
     )
     return table(spark, sf_dir, "lineitem").select(
-        meter(index).alias("site"),
+        meter_of_ten(F.col("l_suppkey")).alias("site"),
         F.when(kept, "Compliance Volume").otherwise("Stage").alias("measurement"),
         F.col("l_shipdate").alias("date_time"),
         F.col("l_quantity").alias("value"),
@@ -160,7 +174,7 @@ def consents(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = F.to_date("o_orderdate")
     return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("CRC"), F.col("o_orderkey").cast("string")).alias("record_number"),
-        ext(index).alias("ext_site_id"),
+        ext_of_ten(F.col("o_custkey")).alias("ext_site_id"),
         starts.alias("from_date"),
         F.date_add(starts, (F.col("o_orderkey") % 3000).cast("int")).alias("to_date"),
         (F.col("o_totalprice") / 1000.0).alias("consented_rate"),

@@ -15,6 +15,8 @@ DEFAULTS = {
     # Split a skewed join even where the next step then needs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Call sites of every expression cost more than the planning of a report.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,0 +1,130 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterqa import schema
+from meterqa.operators import consents as con
+from meterqa.operators import meters, volumes
+from meterqa.plans import reports
+from meterqa.sources import tables
+from tests.conftest import rows
+
+ACTIVE, OLD = "Issued - Active", "Issued - Inactive"
+
+
+@pytest.fixture(scope="module")
+def permits(spark):
+    """record, site, from, to, rate, multi-day volume, period, use, status"""
+
+    def row(record, site, start, end, rate, vol, period, use, status):
+        return (record, "Take", None, site, start, end, 1, 12, rate, vol, period, None, use, None, status, None)
+
+    return spark.createDataFrame(
+        [
+            row("CRC3", "BU24/0001", "8/05/2015 0:00", "1/01/2025 0:00", 10.0, 100.0, 1, "agriculture", ACTIVE),
+            row("CRC1", "BU24/0001", "8/05/2016 0:00", "1/01/2026 0:00", 5.5, None, 7, None, ACTIVE),
+            row("CRC2", "BU24/0001", "8/05/2017 0:00", "1/01/2035 0:00", 99.0, 9.0, 30, "stock", OLD),
+            row("CRC4", "N32/0002", "1/01/2000 0:00", "1/01/2020 0:00", 1.0, 7.0, 7, "stock", OLD),
+            row("CRC5", "N32/0002", "1/01/2001 0:00", "1/01/2020 0:00", 2.0, 7.0, 14, "stock", OLD),
+            row("CRC6", "N32/0002", "1/01/2001 0:00", "1/01/2019 0:00", 4.0, 7.0, 90, "stock", OLD),
+            row("CRC7", "M32/0003", "1/01/2001 0:00", "9/01/2001 0:00", 4.0, 7.0, 1, "hydroelectric", ACTIVE),
+            row("CRC8", "M32/0004", "1/01/2001 0:00", "11/01/2001 0:00", 4.0, 7.0, None, "stock", ACTIVE),
+            row("CRC9", "M32/0004", "1/01/2001 0:00", "12/01/2001 0:00", 4.0, 7.0, None, "stock", ACTIVE),
+            row("CR10", "M32/0005", "1/01/2001 0:00", "until revoked", 4.0, 7.0, None, "stock", OLD),
+        ],
+        schema.CONSENTS,
+    )
+
+
+def numbers(df):
+    return sorted(r.record_number for r in df.collect())
+
+
+def test_filters(permits):
+    dated = con.with_dates(permits)
+    assert dated.filter("to_date is null").count() == 1
+    assert "CRC7" not in numbers(con.exclude_use(permits))
+    assert "CRC1" in numbers(con.exclude_use(permits))  # no stated use stays
+    # ten days are not enough, eleven are; unreadable dates go
+    assert numbers(con.minimum_duration(dated)) == [f"CRC{i}" for i in (1, 2, 3, 4, 5, 6, 9)]
+    # strict at both ends
+    assert numbers(con.overlapping(dated, "2020-01-01", "2030-01-01")) == ["CRC1", "CRC2", "CRC3"]
+    assert "CRC3" not in numbers(con.overlapping(dated, "2000-01-01", "2015-05-08"))
+    assert "CRC7" in numbers(con.usable_consents(permits.withColumn("to_date", F.lit("1/02/2002 0:00")), include_hydroelectric=True))
+
+
+def test_effective_permits_and_limits(permits):
+    dated = con.with_dates(permits)
+    assert numbers(con.effective_consents(dated)) == ["CRC1", "CRC3", "CRC4", "CRC5", "CRC7", "CRC8", "CRC9"]
+    want = [
+        ("BU24/0001", 15.5, 100.0, 7, 1339.2),
+        ("M32/0003", 4.0, 7.0, 1, 345.6),
+        ("M32/0004", 8.0, 14.0, None, 691.2),
+        ("N32/0002", 3.0, 14.0, 14, 259.2),
+    ]
+    assert rows(con.consent_limits(con.effective_consents(dated)), "ext_site_id") == want
+    assert rows(con.site_limits(dated), "ext_site_id") == want
+
+
+def test_meter_lists(spark, permits):
+    archive = spark.createDataFrame(
+        [("BU24/0001-M1",), ("BU24/0001-M2",), ("N32/0002-M1",), ("M32/0003-M1",), ("Weather",), (None,), ("BU24/0001-M1",)],
+        "site_name string",
+    )
+    table = reports.meters_from_sites(permits, archive, ["BU24/0001", "M32/0003"])
+    assert rows(table.select("site_name", "record_number"), "site_name") == [
+        ("BU24/0001-M1", "CRC1"),
+        ("BU24/0001-M2", "CRC1"),
+    ]
+    table = reports.meters_from_consents(permits, archive, ["CRC2", "CRC5", "CRC4"])
+    assert rows(table.select("site_name", "record_number"), "site_name") == [
+        ("BU24/0001-M1", "CRC2"),
+        ("BU24/0001-M2", "CRC2"),
+        ("N32/0002-M1", "CRC4"),
+    ]
+    ext = spark.createDataFrame(
+        [("BU24/0001", 1.0, 2.0, "North"), ("N32/0002", 1.0, 2.0, "South"), ("gauge", 1.0, 2.0, "South")],
+        schema.EXT_SITES,
+    )
+    table = reports.meters_from_catchment(permits, archive, ext, {"swaz_name": ["South"]})
+    assert rows(table.select("site_name", "record_number")) == [("N32/0002-M1", "CRC4")]
+    joined = meters.consent_meter_join(permits, meters.meters_with_site_id(archive.distinct()))
+    assert joined.count() == 3 * 2 + 3 + 1
+
+
+def test_external_sites(spark):
+    ext = spark.createDataFrame(
+        [("BU24/0001", 1.0, 2.0, "North"), ("gauge", 1.0, 2.0, "North")], schema.EXT_SITES
+    )
+    assert tables.external_sites(ext).columns == ["ext_site_id", "nztmx", "nztmy"]
+    got = tables.external_sites(ext, {"swaz_name": ["North"], "nztmx": [1.0]})
+    assert got.columns == ["ext_site_id", "nztmx", "nztmy", "swaz_name"]
+    assert rows(got) == [("BU24/0001", 1.0, 2.0, "North")]
+    with pytest.raises(ValueError):
+        tables.external_sites(ext, ["swaz_name"])
+
+
+def test_long_key_lists_become_joins(permits):
+    keys = [f"X{i}" for i in range(tables.MAX_LITERAL_KEYS)] + ["CRC1"]
+    assert numbers(tables.for_keys(permits, "record_number", keys)) == ["CRC1"]
+    assert numbers(tables.for_keys(permits, "record_number", ["CRC1"])) == ["CRC1"]
+    assert tables.for_keys(permits, "record_number", None) is permits
+
+
+def test_daily_series_with_limits(observations, permits):
+    first = dt.datetime(2024, 7, 1, 6)
+    obs = observations(
+        [("BU24/0001-M1", "Volume", first + dt.timedelta(days=i), 100.0 * i) for i in range(20)]
+        + [("Z99/0009-M1", "Volume", first, 5.0)]
+    )
+    table = reports.daily_series_consent(volumes.plain_volumes(obs), con.with_dates(permits))
+    a = table.filter("site = 'BU24/0001-M1'").orderBy("date").collect()
+    assert [r.ma for r in a[:6]] == [None] * 6
+    assert a[6].ma == 300.0 and a[19].ma == 1600.0
+    assert {(r.max_vol, r.ref_line, r.max_rate) for r in a} == {(1339.2, 14.3, 15.5)}
+    assert [r.over_max_vol for r in a] == [100.0 * i > 1339.2 for i in range(20)]
+    assert [r.over_ref_line for r in a] == [i >= 6 for i in range(20)]
+    assert [r.over_max_rate for r in a] == [100.0 * i / 86.4 > 15.5 for i in range(20)]
+    z = table.filter("site = 'Z99/0009-M1'").first()
+    assert (z.ma, z.max_vol, z.ref_line, z.over_max_vol) == (None, None, None, False)
