@@ -194,7 +194,7 @@ def stitched_volumes(
     grain: str = "day",
 ) -> DataFrame:
     """Volumes of the stitched series, optionally of a date window."""
-    rows = for_keys(observations, "site", sites)
+    rows = observations_range(observations, sites, None, from_date, to_date, whole_days=True)
     processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
     return volumes.register_to_volume(rows, series.stitch_plan(processed), grain=grain)
 
@@ -229,7 +229,7 @@ def monthly_pack(
     grain: str = "day",
 ) -> dict[str, DataFrame]:
     """The three tables of the statistics workbook."""
-    rows = for_keys(observations, "site", sites)
+    rows = observations_range(observations, sites, None, from_date, to_date, whole_days=True)
     processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
     plan = series.stitch_plan(processed)
     vols = volumes.register_to_volume(rows, plan, grain=grain)
