@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from meterqa import schema
 from meterqa.functions.calendar import parse_day
 from meterqa.operators import series
+from meterqa.operators.consents import with_dates
 from meterqa.plans import reports
 from meterqa.session import build_session
 from meterqa.sources import files, tables
@@ -38,6 +39,22 @@ def _archive_sites(spark: SparkSession, args, observations: DataFrame | None) ->
     return tables.site_list(observations)
 
 
+def _consents(spark: SparkSession, path: str) -> DataFrame:
+    """Permits; their dates may be stored as dates or as text."""
+    return schema.require_columns(
+        spark.read.parquet(path),
+        "record_number",
+        "ext_site_id",
+        "from_date",
+        "to_date",
+        "water_use",
+        "consent_status",
+        "consented_rate",
+        "consented_multiday_volume",
+        "consented_multiday_period",
+    )
+
+
 def _requested(spark: SparkSession, args, archive: DataFrame) -> DataFrame | None:
     """The sites asked for: a checked single site, a file, or none for all."""
     if args.site:
@@ -104,15 +121,15 @@ def time_series(spark: SparkSession, args) -> None:
     if args.export in ("p", "b"):
         vols = reports.stitched_volumes(obs, catalog, *window)
         if args.consents:
-            consents = tables.read_table(spark, args.consents, schema.CONSENTS)
-            table = reports.daily_series_consent(vols, reports.con.with_dates(consents))
+            consents = with_dates(_consents(spark, args.consents))
+            table = reports.daily_series_consent(vols, consents)
         else:
             table = reports.daily_series(vols)
         files.write_by_site(table, f"{args.out}/series")
 
 
 def meter_list(spark: SparkSession, args) -> None:
-    consents = tables.read_table(spark, args.consents, schema.CONSENTS)
+    consents = _consents(spark, args.consents)
     obs = _observations(spark, args) if args.observations else None
     archive = _archive_sites(spark, args, obs)
     if args.site_ids:
