@@ -339,6 +339,12 @@ def monthly_stats_stitched(spark, d):
     return pack["monthly_statistics"]
 
 
+@query
+def negatives_removed(spark, d):
+    pack = reports.monthly_pack(v.readings(spark, d), v.catalog(spark, d), grain=v.GRAIN)
+    return rounded(pack["negatives_removed"], 4, "negative_value_sum")
+
+
 @query
 def monthly_stats_windowed(spark, d):
     start, end = v.WINDOW
@@ -430,6 +436,12 @@ def daily_series(spark, d):
     return rounded(reports.daily_series(vols), 6, "rate", "ma30")
 
 
+@query
+def daily_series_stitched(spark, d):
+    days = reports.stitched_days(v.readings(spark, d), v.catalog(spark, d), grain=v.GRAIN)
+    return rounded(reports.daily_series(days), 4, "volume", "rate", "ma30")
+
+
 @query
 def daily_series_null_readings(spark, d):
     vols = volumes.plain_volumes(v.long_series(spark, d))

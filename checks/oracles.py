@@ -561,6 +561,18 @@ _add(
     "daily_series",
     f"SELECT {_SERIES}, {even('ma30', 6)} AS ma30 FROM (SELECT *, {_avg_over('29', '21')} AS ma30 FROM wy_grid) q",
 )
+ORACLES["negatives_removed"] = ORACLES["negatives_by_month"]
+_add(
+    "daily_series_stitched",
+    f"""WITH dd AS (SELECT site, date, count(vol) AS readings, sum(vol) AS volume FROM vol_c WHERE vol >= 0 GROUP BY site, date),
+k AS (SELECT site, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT site, make_date(year(min(date)) - CASE WHEN month(min(date)) <= 6 THEN 1 ELSE 0 END, 7, 1) AS lo,
+    max(date) AS hi FROM dd GROUP BY site) q),
+g AS (SELECT k.site, k.date, dd.readings, dd.volume FROM k LEFT JOIN dd USING (site, date))
+SELECT site, {iso("date")} AS date, strftime(date, '%Y-%m') AS month, CAST(day(date) AS INTEGER) AS day,
+  coalesce(readings, 0) AS readings, {even("volume", 4)} AS volume, {even(f"volume * {RATE}", 4)} AS rate,
+  {even("ma30", 4)} AS ma30 FROM (SELECT *, {_avg_over("29", "21")} AS ma30 FROM g) z""",
+)
 _add("daily_series_null_readings", f"SELECT site, {iso('date')} AS date, readings FROM wy_grid")
 _add(
     "daily_series_consent",

@@ -109,22 +109,28 @@ def quality(spark: SparkSession, args) -> None:
 
 
 def time_series(spark: SparkSession, args) -> None:
-    """Statistics tables (``s``), daily series for plots (``p``) or both (``b``)."""
+    """Statistics tables (``s``), daily series for plots (``p``) or both (``b``).
+
+    The day rows are written first and everything else is built from them.
+    """
     obs = _observations(spark, args)
     catalog = _catalog(spark, args, obs)
     sites = _requested(spark, args, catalog.select("site").distinct())
-    window = (sites, args.from_date, args.to_date, args.grain)
+    window = (args.from_date, args.to_date)
+    days = reports.stitched_days(obs, catalog, sites, *window, grain=args.grain)
+    days.write.mode("overwrite").parquet(f"{args.out}/days")
+    days = spark.read.schema(days.schema).parquet(f"{args.out}/days")
     if args.export in ("s", "b"):
+        processed = series.process_catalog(tables.for_keys(catalog, "site", sites), *window)
         files.write_statistics(
-            reports.monthly_pack(obs, catalog, *window), f"{args.out}/statistics"
+            reports.statistics_from_days(days, processed), f"{args.out}/statistics"
         )
     if args.export in ("p", "b"):
-        vols = reports.stitched_volumes(obs, catalog, *window)
         if args.consents:
             consents = with_dates(_consents(spark, args.consents))
-            table = reports.daily_series_consent(vols, consents)
+            table = reports.daily_series_consent(days, consents)
         else:
-            table = reports.daily_series(vols)
+            table = reports.daily_series(days)
         files.write_by_site(table, f"{args.out}/series")
 
 

@@ -24,7 +24,9 @@ def day_rollup(flagged: DataFrame) -> DataFrame:
     negative = F.when(F.col("vol") < 0, F.col("vol"))
     return flagged.groupBy("site", "measurement", "date").agg(
         F.count(kept).alias("reports"),
+        F.sum(kept).alias("sum_kept"),
         F.count(negative).alias("negatives"),
+        F.sum(negative).alias("negative_sum"),
         F.min(positive).alias("min_positive"),
         F.sum(positive).alias("sum_positive"),
         F.count(positive).alias("n_positive"),
@@ -50,6 +52,27 @@ def daily_stats(rollup: DataFrame) -> DataFrame:
     )
 
 
+def negatives_per_month(rollup: DataFrame) -> DataFrame:
+    """Same as ``volumes.negatives_by_month``, from day rows."""
+    return (
+        rollup.filter(F.col("negatives") > 0)
+        .groupBy("site", month_label(F.col("date")).alias("month"))
+        .agg(
+            F.sum("negatives").alias("negative_value_count"),
+            F.sum("negative_sum").alias("negative_value_sum"),
+        )
+    )
+
+
+def totals_per_day(rollup: DataFrame) -> DataFrame:
+    """Readings and volume per site and day without negatives, from day rows."""
+    return (
+        rollup.filter(F.col("reports") > 0)
+        .groupBy("site", "date")
+        .agg(F.sum("reports").alias("readings"), F.sum("sum_kept").alias("volume"))
+    )
+
+
 def _mean_positive():
     return F.try_divide(F.sum("sum_positive"), F.sum("n_positive").cast("double"))
 

@@ -220,30 +220,57 @@ def monthly_statistics(flagged: DataFrame) -> DataFrame:
     return summaries.monthly_stats(summaries.daily_stats(summaries.day_rollup(flagged)))
 
 
-def monthly_pack(
+def stitched_days(
     observations: DataFrame,
     catalog: DataFrame,
     sites: Keys | None = None,
     from_date: Day | None = None,
     to_date: Day | None = None,
     grain: str = "day",
-) -> dict[str, DataFrame]:
-    """The three tables of the statistics workbook."""
+) -> DataFrame:
+    """One row per site and day of the stitched series, with all later reports need.
+
+    Write this table once and build the statistics and the daily series from
+    it; the readings are then shuffled once for all of them.
+    """
     rows = observations_range(observations, sites, None, from_date, to_date, whole_days=True)
     processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
-    plan = series.stitch_plan(processed)
-    vols = volumes.register_to_volume(rows, plan, grain=grain)
+    return summaries.day_rollup(flagged_volumes(rows, series.stitch_plan(processed), grain))
+
+
+def statistics_from_days(days: DataFrame, processed: DataFrame) -> dict[str, DataFrame]:
+    """The three tables of the statistics workbook."""
     return {
         "measurements": processed,
-        "negatives_removed": volumes.negatives_by_month(vols),
-        "monthly_statistics": monthly_statistics(flagged_volumes(rows, plan, grain)),
+        "negatives_removed": summaries.negatives_per_month(days),
+        "monthly_statistics": summaries.monthly_stats(summaries.daily_stats(days)),
     }
 
 
-def _water_year_grid(vols: DataFrame) -> DataFrame:
+def monthly_pack(
+    observations: DataFrame,
+    catalog: DataFrame,
+    sites: Keys | None = None,
+    from_date: Day | None = None,
+    to_date: Day | None = None,
+    grain: str = "day",
+) -> dict[str, DataFrame]:
+    """Statistics workbook straight from the readings."""
+    days = stitched_days(observations, catalog, sites, from_date, to_date, grain)
+    processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
+    return statistics_from_days(days, processed)
+
+
+def _daily(table: DataFrame) -> DataFrame:
+    """Daily totals of volumes, or of the day rows of ``stitched_days``."""
+    if "vol" in table.columns:
+        return grids.daily_totals(volumes.remove_negatives(table), "vol")
+    return summaries.totals_per_day(table)
+
+
+def _water_year_grid(table: DataFrame) -> DataFrame:
     """Daily totals from the start of a site's first water year to its last day."""
-    daily = grids.daily_totals(volumes.remove_negatives(vols), "vol")
-    return grids.fill_days(daily, water_year_start(F.col("date")))
+    return grids.fill_days(_daily(table), water_year_start(F.col("date")))
 
 
 def _series_columns(grid: DataFrame, fill_readings: bool) -> list:
@@ -260,20 +287,23 @@ def _series_columns(grid: DataFrame, fill_readings: bool) -> list:
     ]
 
 
-def daily_series(vols: DataFrame, fill_readings: bool = True) -> DataFrame:
-    """Daily volume, rate and 30-day average (at least 21 days with data)."""
-    grid = grids.moving_average(_water_year_grid(vols), 30, 21, alias="ma30")
+def daily_series(table: DataFrame, fill_readings: bool = True) -> DataFrame:
+    """Daily volume, rate and 30-day average (at least 21 days with data).
+
+    Takes volumes, or the day rows of ``stitched_days``.
+    """
+    grid = grids.moving_average(_water_year_grid(table), 30, 21, alias="ma30")
     return grid.select("site", *_series_columns(grid, fill_readings), "ma30")
 
 
-def daily_series_consent(vols: DataFrame, consents: DataFrame) -> DataFrame:
+def daily_series_consent(table: DataFrame, consents: DataFrame) -> DataFrame:
     """Daily series with the permit's average and reference lines.
 
     Limits belong to the take point and apply to each of its meters; sites
     without a permit keep nulls.
     """
     limits = con.site_limits(consents)
-    grid = _water_year_grid(vols).withColumn("ext_site_id", external_site(F.col("site")))
+    grid = _water_year_grid(table).withColumn("ext_site_id", external_site(F.col("site")))
     grid = grids.moving_average_by_period(
         grid.join(limits, "ext_site_id", "left"), "return_period"
     )

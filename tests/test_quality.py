@@ -86,3 +86,6 @@ def test_daily_sums_keep_the_raw_total(archive):
     raw = vols.filter("vol >= 0").agg({"vol": "sum"}).first()[0]
     series = reports.daily_series(vols).agg({"volume": "sum"}).first()[0]
     assert series == pytest.approx(raw)
+    days = reports.stitched_days(obs, cat, ["A"])
+    by_days = rows(reports.daily_series(days).select("date", "readings", "volume"), "date")
+    assert by_days == rows(reports.daily_series(vols).select("date", "readings", "volume"), "date")
