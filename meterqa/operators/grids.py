@@ -49,12 +49,14 @@ def fill_days(
     keys: Sequence[str] = ("site",),
     order: Sequence[str] = ("date",),
     fill: Mapping[str, Column] | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """Add a row for every day without one, between ``start`` and ``end``.
 
     The bounds default to a site's first and last day and may be expressions of
     the first and last row. Value columns are null on added days unless
-    ``fill`` gives them a value. ``added`` tells the rows apart.
+    ``fill`` gives them a value; ``constant`` columns are the same on all days.
+    ``added`` tells the rows apart.
     """
     fill = dict(fill or {})
     span = W.partitionBy(*keys).orderBy(*order)
@@ -77,10 +79,11 @@ def fill_days(
         .withColumn("_day", F.explode(F.concat(before, F.array("date"), after)))
         .withColumn("added", F.col("_day") != F.col("date"))
     )
-    values = [c for c in rows.columns if c not in (*keys, "date")]
+    values = [c for c in rows.columns if c not in (*keys, "date", *constant)]
     return spread.select(
         *keys,
         F.col("_day").alias("date"),
+        *constant,
         *[
             F.when(F.col("added"), fill[c]).otherwise(F.col(c)).alias(c)
             if c in fill

@@ -268,9 +268,9 @@ def _daily(table: DataFrame) -> DataFrame:
     return summaries.totals_per_day(table)
 
 
-def _water_year_grid(table: DataFrame) -> DataFrame:
+def _water_year_grid(daily: DataFrame, constant: Sequence[str] = ()) -> DataFrame:
     """Daily totals from the start of a site's first water year to its last day."""
-    return grids.fill_days(_daily(table), water_year_start(F.col("date")))
+    return grids.fill_days(daily, water_year_start(F.col("date")), constant=constant)
 
 
 def _series_columns(grid: DataFrame, fill_readings: bool) -> list:
@@ -292,7 +292,7 @@ def daily_series(table: DataFrame, fill_readings: bool = True) -> DataFrame:
 
     Takes volumes, or the day rows of ``stitched_days``.
     """
-    grid = grids.moving_average(_water_year_grid(table), 30, 21, alias="ma30")
+    grid = grids.moving_average(_water_year_grid(_daily(table)), 30, 21, alias="ma30")
     return grid.select("site", *_series_columns(grid, fill_readings), "ma30")
 
 
@@ -303,10 +303,10 @@ def daily_series_consent(table: DataFrame, consents: DataFrame) -> DataFrame:
     without a permit keep nulls.
     """
     limits = con.site_limits(consents)
-    grid = _water_year_grid(table).withColumn("ext_site_id", external_site(F.col("site")))
-    grid = grids.moving_average_by_period(
-        grid.join(limits, "ext_site_id", "left"), "return_period"
-    )
+    daily = _daily(table).withColumn("ext_site_id", external_site(F.col("site")))
+    # Joined before the gaps are filled, so the grid stays where its site is.
+    grid = _water_year_grid(daily.join(limits, "ext_site_id", "left"), limits.columns)
+    grid = grids.moving_average_by_period(grid, "return_period")
     base = grid.select(
         "site",
         *_series_columns(grid, True),
