@@ -51,6 +51,11 @@ def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
     return df.withColumns({c: round_half_even(F.col(c), places) for c in columns})
 
 
+def floated(df: DataFrame, *columns: str) -> DataFrame:
+    """Counts that may be absent, as doubles: clients differ in how they show null integers."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 # --- scans ----------------------------------------------------------------------
 
 
@@ -261,7 +266,8 @@ def daily_grid_zero_fill(spark, d):
 
 @query
 def daily_grid_null_fill(spark, d):
-    return grids.fill_days(grids.daily_totals(v.long_series(spark, d))).drop("added")
+    grid = grids.fill_days(grids.daily_totals(v.long_series(spark, d))).drop("added")
+    return floated(grid, "readings")
 
 
 @query
@@ -279,7 +285,8 @@ def hourly_grid(spark, d):
 
 @query
 def daily_plot_table(spark, d):
-    return rounded(reports.daily_plot_table(v.readings(spark, d), v.PLOT_AS_OF), 4, "volume")
+    table = reports.daily_plot_table(v.readings(spark, d), v.PLOT_AS_OF)
+    return floated(rounded(table, 4, "volume"), "readings")
 
 
 @query
@@ -354,18 +361,31 @@ def monthly_stats_windowed(spark, d):
     return pack["monthly_statistics"]
 
 
+_QA_COUNTS = [
+    "total_days",
+    "days_with_data",
+    "total_reports",
+    "negative_values",
+    "spikes_sd5",
+    "spikes_sd10",
+    "spikes_sd20",
+]
+
+
 @query
 def qa_combined(spark, d):
-    return reports.quality_combined(
+    table = reports.quality_combined(
         v.readings(spark, d), v.catalog(spark, d), v.requested(spark, d), grain=v.GRAIN
     )
+    return floated(table, "meas_types", "meas_used", *_QA_COUNTS)
 
 
 @query
 def qa_by_measurement(spark, d):
-    return reports.quality_by_measurement(
+    table = reports.quality_by_measurement(
         v.readings(spark, d), v.catalog(spark, d), v.requested(spark, d), grain=v.GRAIN
     )
+    return floated(table, *_QA_COUNTS)
 
 
 # --- reporting frequency ----------------------------------------------------------------
@@ -445,7 +465,8 @@ def daily_series_stitched(spark, d):
 @query
 def daily_series_null_readings(spark, d):
     vols = volumes.plain_volumes(v.long_series(spark, d))
-    return reports.daily_series(vols, fill_readings=False).select("site", "date", "readings")
+    table = reports.daily_series(vols, fill_readings=False).select("site", "date", "readings")
+    return floated(table, "readings")
 
 
 @query

@@ -381,7 +381,10 @@ _add(
     "daily_grid_zero_fill",
     f"SELECT site, {iso('date')} AS date, coalesce(readings, 0) AS readings FROM l_grid",
 )
-_add("daily_grid_null_fill", f"SELECT site, {iso('date')} AS date, readings, volume FROM l_grid")
+_add(
+    "daily_grid_null_fill",
+    f"SELECT site, {iso('date')} AS date, CAST(readings AS DOUBLE) AS readings, volume FROM l_grid",
+)
 
 _PLOT_FROM = "2023-12-12"
 
@@ -425,8 +428,8 @@ _add(
     "daily_plot_table",
     f"""WITH r AS ({_window_rows("2023-01-12", v.PLOT_AS_OF)}), k AS ({_calendar("r", "2023-01-12", v.PLOT_AS_OF)}),
 dd AS (SELECT site, CAST(date_time AS DATE) AS date, count(value) AS readings, sum(value) AS volume FROM r GROUP BY ALL)
-SELECT k.site, {iso("k.date")} AS date, strftime(k.date, '%Y-%m') AS month, CAST(day(k.date) AS INTEGER) AS day, readings,
-  {even("volume", 4)} AS volume FROM k LEFT JOIN dd ON dd.site = k.site AND dd.date = k.date""",
+SELECT k.site, {iso("k.date")} AS date, strftime(k.date, '%Y-%m') AS month, CAST(day(k.date) AS INTEGER) AS day,
+  CAST(readings AS DOUBLE) AS readings, {even("volume", 4)} AS volume FROM k LEFT JOIN dd ON dd.site = k.site AND dd.date = k.date""",
 )
 _add(
     "month_hourly_grid",
@@ -493,10 +496,11 @@ _QA_COLUMNS = f"""min(date) FILTER (vol >= 0) AS lo, max(date) FILTER (vol >= 0)
   count(DISTINCT date) FILTER (vol >= 0) AS days_with_data, count(*) FILTER (vol >= 0) AS total_reports,
   {even("min(vol) FILTER (vol > 0)", 3)} AS min_extraction, {even("avg(vol) FILTER (vol > 0)", 1)} AS mean_extraction,
   {even("max(vol) FILTER (vol >= 0)", 1)} AS max_extraction, count(*) FILTER (vol < 0) AS negative_values"""
-_QA_SHOWN = f"""{iso("lo")} AS start_date, {iso("hi")} AS end_date, CAST(hi - lo + 1 AS BIGINT) AS total_days, days_with_data,
-  total_reports, min_extraction, mean_extraction, max_extraction, negative_values,
-  CAST(spikes_sd5 AS BIGINT) AS spikes_sd5, CAST(spikes_sd10 AS BIGINT) AS spikes_sd10,
-  CAST(spikes_sd20 AS BIGINT) AS spikes_sd20"""
+_QA_SHOWN = f"""{iso("lo")} AS start_date, {iso("hi")} AS end_date, CAST(hi - lo + 1 AS DOUBLE) AS total_days,
+  CAST(days_with_data AS DOUBLE) AS days_with_data, CAST(total_reports AS DOUBLE) AS total_reports,
+  min_extraction, mean_extraction, max_extraction, CAST(negative_values AS DOUBLE) AS negative_values,
+  CAST(spikes_sd5 AS DOUBLE) AS spikes_sd5, CAST(spikes_sd10 AS DOUBLE) AS spikes_sd10,
+  CAST(spikes_sd20 AS DOUBLE) AS spikes_sd20"""
 
 
 def _spike_sums(gate: str, vol: str) -> str:
@@ -510,7 +514,8 @@ s AS (SELECT x.site, count(DISTINCT measurement) FILTER (vol >= 0) AS meas_used,
   {_spike_sums("kept_rows", "x.vol")} FROM vol_c x LEFT JOIN p ON p.site = x.site GROUP BY x.site),
 t AS (SELECT site, count(*) AS meas_types FROM proc GROUP BY site)
 SELECT req.site, CASE WHEN held.site IS NULL THEN 'N' ELSE 'Y' END AS in_archive,
-  CASE WHEN held.site IS NOT NULL THEN coalesce(meas_types, 0) END AS meas_types, meas_used, {_QA_SHOWN}
+  CAST(CASE WHEN held.site IS NOT NULL THEN coalesce(meas_types, 0) END AS DOUBLE) AS meas_types,
+  CAST(meas_used AS DOUBLE) AS meas_used, {_QA_SHOWN}
 FROM req LEFT JOIN held ON held.site = req.site LEFT JOIN s ON s.site = req.site LEFT JOIN t ON t.site = req.site""",
 )
 _add(
@@ -573,7 +578,10 @@ SELECT site, {iso("date")} AS date, strftime(date, '%Y-%m') AS month, CAST(day(d
   coalesce(readings, 0) AS readings, {even("volume", 4)} AS volume, {even(f"volume * {RATE}", 4)} AS rate,
   {even("ma30", 4)} AS ma30 FROM (SELECT *, {_avg_over("29", "21")} AS ma30 FROM g) z""",
 )
-_add("daily_series_null_readings", f"SELECT site, {iso('date')} AS date, readings FROM wy_grid")
+_add(
+    "daily_series_null_readings",
+    f"SELECT site, {iso('date')} AS date, CAST(readings AS DOUBLE) AS readings FROM wy_grid",
+)
 _add(
     "daily_series_consent",
     f"""SELECT {_SERIES}, {even("ma", 6)} AS ma, max_vol, ref_line, {even("max_rate", 2)} AS max_rate,
