@@ -58,35 +58,38 @@ def _entries(segments: int):
     return entries
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(least: int):
     """Reduce tasks: rows come sorted by segment, so one segment's counts are held at a time."""
 
     def packed(segment: int, counts: np.ndarray) -> pa.RecordBatch:
-        words = np.packbits(counts > 1, bitorder="little").view("<i8")
+        words = np.packbits(counts >= least, bitorder="little").view("<i8")
         return pa.RecordBatch.from_arrays(
             [pa.array([segment], pa.int64()), pa.array([words.tolist()], pa.list_(pa.int64()))],
             names=["segment", "words"],
         )
 
-    held, counts = None, None
-    for batch in batches:
-        for segment, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if segment != held:
-                if held is not None and (counts > 1).any():
-                    yield packed(held, counts)
-                held, counts = segment, np.zeros(SEGMENT_BITS, np.uint8)
-            cells = np.frombuffer(once, "<u2")
-            counts[cells] = np.minimum(counts[cells] + 1, 2)
-            counts[np.frombuffer(twice, "<u2")] = 2
-    if held is not None and (counts > 1).any():
-        yield packed(held, counts)
-
-
-def repeated_cells(hashes: DataFrame, segments: int = SEGMENTS) -> DataFrame:
-    """First pass over a column of 64-bit hashes: (segment, words) with the bits of cells entered twice."""
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts = None, None
+        for batch in batches:
+            for segment, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if segment != held:
+                    if held is not None and (counts >= least).any():
+                        yield packed(held, counts)
+                    held, counts = segment, np.zeros(SEGMENT_BITS, np.uint8)
+                cells = np.frombuffer(once, "<u2")
+                counts[cells] = np.minimum(counts[cells] + 1, 2)
+                counts[np.frombuffer(twice, "<u2")] = 2
+        if held is not None and (counts >= least).any():
+            yield packed(held, counts)
+
+    return merged
+
+
+def repeated_cells(hashes: DataFrame, segments: int = SEGMENTS, least: int = 2) -> DataFrame:
+    """First pass over a column of 64-bit hashes: (segment, words) with the bits of cells entered ``least`` (1 or 2) times."""
     entered = hashes.mapInArrow(_entries(segments), "segment long, once binary, twice binary")
     dealt = entered.repartition("segment").sortWithinPartitions("segment")
-    return dealt.mapInArrow(_merged, "segment long, words array<long>")
+    return dealt.mapInArrow(_merged(least), "segment long, words array<long>")
 
 
 def possibly_repeated(df: DataFrame, hash_col: str, cells: DataFrame, segments: int, flag: str) -> DataFrame:
@@ -104,6 +107,15 @@ def possibly_repeated(df: DataFrame, hash_col: str, cells: DataFrame, segments:
     return joined.select(*[df[c] for c in df.columns], F.coalesce(hit, F.lit(False)).alias(flag))
 
 
+def possibly_entered(
+    df: DataFrame, hash_col: str, entered: DataFrame, segments: int = SEGMENTS // 4, flag: str | None = None
+) -> DataFrame:
+    """Rows of ``df`` whose hash may be among ``entered`` (one column of hashes); with ``flag``, all rows and that column."""
+    cells = written(repeated_cells(entered, segments, least=1))
+    flagged = possibly_repeated(df, hash_col, cells, segments, flag or "_entered")
+    return flagged if flag else flagged.filter("_entered").drop("_entered")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segments: int = SEGMENTS) -> DataFrame:
     """One row per document: ``id_col``, keep_id, group_size, kept, text_sha256.
 

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterqa.llm import chat, exact_dedup, secrets, sharding
+from meterqa.llm import chat, exact_dedup, language_id, mixing, near_dedup, pieces, quality, secrets, sharding
 from meterqa.llm.base import table
 
 
+def op1_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -18,19 +22,72 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(table(spark, sf_dir, "conversations"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_order(table(spark, sf_dir, "documents"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * 16)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_chat_format, op6_sharding, op10_secret_scan)
+    f.__name__: f
+    for f in (
+        op1_piece_dropout,
+        op2_exact_dedup,
+        op3_chat_format,
+        op4_source_mix,
+        op5_near_dedup,
+        op6_sharding,
+        op8_quality_rules,
+        op9_language_id,
+        op10_secret_scan,
+    )
 }
 
 ORACLES = {
+    "op5_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id,
+                   list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT doc_id, list_distinct(CASE
+                       WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM w
+        ),
+        sets AS (SELECT s, len(s) AS n, min(doc_id) AS id FROM (SELECT doc_id, list_sort(s) AS s FROM s) WHERE len(s) > 0 GROUP BY s),
+        e AS (SELECT id, n, unnest(s) AS x FROM sets),
+        l AS (
+            SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.x = b.x AND a.id <> b.id
+                AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+            GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ),
+        r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT sets.s, least(id, coalesce(min(r.b), id)) AS c FROM sets LEFT JOIN r ON r.a = sets.id GROUP BY sets.s, id)
+        SELECT doc_id, len(s.s) AS n_shingles, coalesce(c, doc_id) AS component_id, doc_id = coalesce(c, doc_id) AS kept
+        FROM s LEFT JOIN c ON list_sort(s.s) = c.s
+    """,
     "op2_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
