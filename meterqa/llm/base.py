@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CODE = "meterqa-tasks"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per context; functions of ours that run there are found by name."""
+    sc = spark.sparkContext
+    if f"{CODE}.zip" not in sc._python_includes:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        target = os.path.join(tempfile.mkdtemp(prefix="meterqa-"), CODE)
+        sc.addPyFile(shutil.make_archive(target, "zip", root, "meterqa"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for cut lineage; a temporary one only where none is set, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

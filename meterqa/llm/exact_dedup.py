@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterqa.llm.base import SPACE, unused_name, written
+from meterqa.llm.base import SPACE, ship_code, unused_name, written
 
 SEGMENTS = 4096
 SEGMENT_BITS = 32768
@@ -31,7 +31,7 @@ def normalised(text: Column) -> Column:
 
 
 def _entries(segments: int):
-    """Map tasks: the cells that a task's hashes enter, by segment, and those it enters twice."""
+    """Map tasks: the cells that a task's hashes enter, by segment, and how often, up to 65535."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
@@ -43,6 +43,7 @@ def _entries(segments: int):
         fresh[1:] = probes[1:] != probes[:-1]  # one hash enters a cell once
         cells, times = np.unique(probes[fresh], return_counts=True)
         owner, offset = cells // SEGMENT_BITS, (cells % SEGMENT_BITS).astype("<u2")
+        times = np.minimum(times, 65535).astype("<u2")
         edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(cells) else np.zeros(1, int)
         for at in range(0, len(edges) - 1, 1024):
             some = list(zip(edges[at : at + 1025], edges[at + 1 : at + 1025], strict=False))
@@ -50,46 +51,51 @@ def _entries(segments: int):
                 [
                     pa.array([int(owner[a]) for a, _ in some], pa.int64()),
                     pa.array([offset[a:b].tobytes() for a, b in some], pa.binary()),
-                    pa.array([offset[a:b][times[a:b] > 1].tobytes() for a, b in some], pa.binary()),
+                    pa.array([times[a:b].tobytes() if (times[a:b] > 1).any() else b"" for a, b in some], pa.binary()),
                 ],
-                names=["segment", "once", "twice"],
+                names=["segment", "cells", "times"],
             )
 
     return entries
 
 
-def _merged(least: int):
+def _merged(least: int, many: int | None):
     """Reduce tasks: rows come sorted by segment, so one segment's counts are held at a time."""
 
+    def bits(counts: np.ndarray, least: int) -> pa.Array:
+        some = counts >= least
+        words = [np.packbits(some, bitorder="little").view("<i8").tolist()] if some.any() else [None]
+        return pa.array(words, pa.list_(pa.int64()))
+
     def packed(segment: int, counts: np.ndarray) -> pa.RecordBatch:
-        words = np.packbits(counts >= least, bitorder="little").view("<i8")
-        return pa.RecordBatch.from_arrays(
-            [pa.array([segment], pa.int64()), pa.array([words.tolist()], pa.list_(pa.int64()))],
-            names=["segment", "words"],
-        )
+        columns = {"segment": pa.array([segment], pa.int64()), "words": bits(counts, least)}
+        return pa.RecordBatch.from_pydict(columns | ({"often": bits(counts, many)} if many else {}))
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts = None, None
         for batch in batches:
-            for segment, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for segment, cells, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if segment != held:
                     if held is not None and (counts >= least).any():
                         yield packed(held, counts)
-                    held, counts = segment, np.zeros(SEGMENT_BITS, np.uint8)
-                cells = np.frombuffer(once, "<u2")
-                counts[cells] = np.minimum(counts[cells] + 1, 2)
-                counts[np.frombuffer(twice, "<u2")] = 2
+                    held, counts = segment, np.zeros(SEGMENT_BITS, np.int64)
+                counts[np.frombuffer(cells, "<u2")] += np.frombuffer(times, "<u2") if times else 1
         if held is not None and (counts >= least).any():
             yield packed(held, counts)
 
     return merged
 
 
-def repeated_cells(hashes: DataFrame, segments: int = SEGMENTS, least: int = 2) -> DataFrame:
-    """First pass over a column of 64-bit hashes: (segment, words) with the bits of cells entered ``least`` (1 or 2) times."""
-    entered = hashes.mapInArrow(_entries(segments), "segment long, once binary, twice binary")
+def repeated_cells(hashes: DataFrame, segments: int = SEGMENTS, least: int = 2, many: int | None = None) -> DataFrame:
+    """First pass over a column of 64-bit hashes: (segment, words) with the bits of cells entered ``least`` times or more.
+
+    With ``many``, also ``often``: the bits of cells entered so many times or more, null where a segment has none.
+    """
+    ship_code(hashes.sparkSession)
+    entered = hashes.mapInArrow(_entries(segments), "segment long, cells binary, times binary")
     dealt = entered.repartition("segment").sortWithinPartitions("segment")
-    return dealt.mapInArrow(_merged(least), "segment long, words array<long>")
+    fields = "segment long, words array<long>" + (", often array<long>" if many else "")
+    return dealt.mapInArrow(_merged(least, many), fields)
 
 
 def possibly_repeated(df: DataFrame, hash_col: str, cells: DataFrame, segments: int, flag: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterqa.llm.arrow_text import text_runs
+from meterqa.llm.base import ship_code
 from meterqa.llm.lookup import HashIndex
 
 DEPTH = 3
@@ -86,6 +87,7 @@ def training_counts(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFr
     unit = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(11)), 11) * F.lit(2.0**-53)
     # One row per language.
     sampled = train.join(F.broadcast(shares), F.col("lang") == F.col("_of")).filter(unit < F.col("_share"))
+    ship_code(docs.sparkSession)
     counted = sampled.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from meterqa.llm import setsketch
 from meterqa.llm.arrow_text import text_runs
-from meterqa.llm.base import unused_name, written
+from meterqa.llm.base import ship_code, unused_name, written
 from meterqa.llm.exact_dedup import possibly_entered
 from meterqa.llm.graph import components
 from meterqa.llm.shingles import shingle_sets
@@ -62,6 +62,7 @@ def _sketching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sketched(docs: DataFrame) -> DataFrame:
     """(id, row, s, t, n, f, g, sketch, keys) per row: two hashes of the text; size and two hashes of its set; registers; band keys."""
+    ship_code(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(

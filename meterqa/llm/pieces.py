@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterqa.llm.arrow_text import text_runs
+from meterqa.llm.base import ship_code
 from meterqa.llm.lookup import HashIndex, mixed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -326,6 +327,7 @@ def encoded(
     A null or empty text has no ids. Documents of equal id and text get equal ids, whatever their task; null ids count as one
     id. Whole texts are encoded. An empty table gives an empty result.
     """
+    ship_code(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     beside = [F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
     rows = docs.select(F.xxhash64(id_col).alias("_key"), F.col(text_col).alias("ids"), *beside)
@@ -336,6 +338,7 @@ def encoded(
 
 def decoded(rows: DataFrame, keep: list[str], model: str = MODEL, ids_col: str = "ids") -> DataFrame:
     """``text`` of each row's ids beside its columns ``keep``; null ids give an empty text."""
+    ship_code(rows.sparkSession)
     vocabulary = rows.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     some = rows.select(F.col(ids_col).alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)])
     fields = "".join(f", _{i} {rows.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterqa.llm import chat, exact_dedup, language_id, mixing, near_dedup, pieces, quality, secrets, sharding
+from meterqa.llm import chat, exact_dedup, language_id, mixing, near_dedup, pieces, quality, secrets, sharding, substrings
 from meterqa.llm.base import table
 
 
@@ -34,6 +35,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * 16)
 
 
+def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_source_mix,
         op5_near_dedup,
         op6_sharding,
+        op7_repeated_substrings,
         op8_quality_rules,
         op9_language_id,
         op10_secret_scan,

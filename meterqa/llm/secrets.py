@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from meterqa.llm.base import ship_code
+
 # The plain patterns and the least lengths of their matches.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -124,6 +126,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     none. Rows are handled one by one where they lie, without a shuffle, so repeated rows give equal rows and an
     empty table an empty result.
     """
+    ship_code(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     return docs.select(id_col, text_col).mapInArrow(_found(scope), schema)
