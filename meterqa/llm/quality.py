@@ -26,12 +26,12 @@ CORE = 0.75
 STEPS = 3
 VECTOR = ("_x0", "_x1", "_x2", "_x3", "_x4")
 D = len(VECTOR)
-#: Least standard deviation of each statistic; keeps estimates regular where most documents have the same value.
-FLOORS = (0.5, 0.05, 0.05, 0.1, 0.1)
+#: Standard deviation of each statistic that is harmless in any group; keeps estimates regular where most documents agree.
+FLOORS = (0.5, 0.05, 0.05, 0.2, 0.2)
 # Chi-squared quantiles with five degrees of freedom.
 CHI2_HALF, CHI2_975 = 4.3515, 12.8325
 #: Squared distance from which a document is rejected.
-CUT = 60.0
+CUT = 40.0
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
