@@ -10,7 +10,7 @@ about a hundred million distinct texts more rows shuffle; the results stay the s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +30,15 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"[{SPACE}]+", " ")
 
 
-def _entries(segments: int):
+def _column(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _entries(segments: int, hashes_of: Callable[[pa.RecordBatch], np.ndarray]):
     """Map tasks: the cells that a task's hashes enter, by segment, and how often, up to 65535."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
+        hashes = [hashes_of(b) for b in batches]
         h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         segment = (h >> np.uint64(45)) % np.uint64(segments) * np.uint64(SEGMENT_BITS)
         probes = np.stack([segment + ((h >> np.uint64(15 * i)) & np.uint64(SEGMENT_BITS - 1)) for i in range(3)])
@@ -86,13 +90,20 @@ def _merged(least: int, many: int | None):
     return merged
 
 
-def repeated_cells(hashes: DataFrame, segments: int = SEGMENTS, least: int = 2, many: int | None = None) -> DataFrame:
+def repeated_cells(
+    hashes: DataFrame,
+    segments: int = SEGMENTS,
+    least: int = 2,
+    many: int | None = None,
+    hashes_of: Callable[[pa.RecordBatch], np.ndarray] = _column,
+) -> DataFrame:
     """First pass over a column of 64-bit hashes: (segment, words) with the bits of cells entered ``least`` times or more.
 
+    ``hashes_of`` gives the hashes of a batch where they are not a column yet.
     With ``many``, also ``often``: the bits of cells entered so many times or more, null where a segment has none.
     """
     ship_code(hashes.sparkSession)
-    entered = hashes.mapInArrow(_entries(segments), "segment long, cells binary, times binary")
+    entered = hashes.mapInArrow(_entries(segments, hashes_of), "segment long, cells binary, times binary")
     dealt = entered.repartition("segment").sortWithinPartitions("segment")
     fields = "segment long, words array<long>" + (", often array<long>" if many else "")
     return dealt.mapInArrow(_merged(least, many), fields)

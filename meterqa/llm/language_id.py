@@ -163,18 +163,17 @@ class ContextTrees:
 
 def _scored(model):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = ContextTrees(*model.value)
+        trees = ContextTrees(*model.value) if model.value[0] else None
         for batch in batches:
             langs: list[str] = []
             scores: list[float] = []
             for _, _, offsets, data in text_runs(batch.column(1)):
+                if trees is None:
+                    langs += ["und"] * (len(offsets) - 1)
+                    scores += [0.0] * (len(offsets) - 1)
+                    continue
                 bits = trees.text_lengths(offsets, data)
-                best = bits.argmin(axis=1) if len(trees.langs) else np.zeros(len(bits), int)
-                for row, b in enumerate(best):
-                    if not trees.langs:
-                        langs.append("und")
-                        scores.append(0.0)
-                        continue
+                for row, b in enumerate(bits.argmin(axis=1)):
                     langs.append(trees.langs[b])
                     scores.append(float(1 / np.exp2(np.minimum(0.0, bits[row, b] - bits[row])).sum()))
             letters = batch.column(2).to_pylist()

@@ -69,16 +69,16 @@ def phases(blocks: list[int], weights: list[int]) -> list[Phase]:
         shrink = math.gcd(*(weights[s] for s in active))
         share = [weights[s] // shrink for s in active]
         period, placed = sum(share), pfair_period(share)
-        full = min(left[s] // a for s, a in zip(active, share, strict=True))
-        rest = [left[s] - full * a for s, a in zip(active, share, strict=True)]
-        end = min((p[r - 1] + 1 if r else 0) for p, r, a in zip(placed, rest, share, strict=True) if r < a)
+        # The slot after each source's last block, and the first of these.
+        last = [divmod(left[s] - 1, a) for s, a in zip(active, share, strict=True)]
+        end = min(whole * period + p[rest] + 1 for (whole, rest), p in zip(last, placed, strict=True))
         for s, a, p in zip(active, share, placed, strict=True):
-            taken = full * a + sum(x < end for x in p)
+            taken = end // period * a + sum(x < end % period for x in p)
             if taken:
                 rows.append((s, used[s], used[s] + taken, slot, period, a, p))
             used[s] += taken
             left[s] -= taken
-        slot += full * period + end
+        slot += end
     return rows
 
 

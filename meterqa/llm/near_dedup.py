@@ -6,8 +6,8 @@
    their square. A cluster's middle text is such a centre in nearly all its buckets.
 3. Pairs whose sizes rule out the similarity are dropped, then those that the joint likelihood of their registers makes next to
    impossible; the rest are confirmed on their full sets.
-4. Buckets that still hold several components have all pairs across components estimated, in blocks of bounded size within
-   tasks, and what passes is confirmed too, so that no link is lost because it misses a centre.
+4. Buckets that still hold several components have all pairs across components estimated and confirmed within tasks, in blocks of
+   bounded size, so that no link is lost because it misses a centre. Only links leave a task.
 """
 
 from __future__ import annotations
@@ -33,7 +33,11 @@ SLACK = 14.0
 #: Members of a centre are confirmed in so many parts.
 SALTS = 32
 #: Rows of a bucket that are compared at once across components.
-BLOCK = 2048
+BLOCK = 1024
+#: Equal registers that any pair of the likelihood test has; a quick test before it.
+EQUAL = 64
+#: Columns of an incidence matrix at once.
+COLUMNS = 4096
 
 
 def _sketching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,46 +97,81 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(lost <= SLACK))
 
 
+def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, after, offsets, data in text_runs(batch.column(1)):
+            edges, shingles = shingle_sets(offsets, data)
+            sets = [shingles[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, after - first), pa.array(sets, pa.binary())], names=["node", "set"]
+            )
+
+
+def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sets: products of their incidence with the elements that several hold."""
+    found, which = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    several = np.bincount(which, minlength=len(found)) > 1
+    column = np.cumsum(several) - 1
+    row, column = row[several[which]], column[which[several[which]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros(len(i), np.int64)
+    for at in range(0, int(several.sum()), COLUMNS):
+        some = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[some], column[some] - at] = 1
+        total += (held @ held.T)[i, j].astype(np.int64)
+    return total
+
+
+def _block_links(rows: list[tuple]) -> pa.RecordBatch | None:
+    """Links between classes of different components in one bucket, or between two blocks of it."""
+    node, root, band = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
+    size = np.array([r[3] for r in rows], float)
+    side = np.array([r[4] for r in rows])
+    could = np.triu(root[:, None] != root, 1)
+    could &= LEAST * np.maximum(size[:, None], size) <= 100 * np.minimum(size[:, None], size)
+    if side.any():
+        could &= side[:, None] != side
+    i, j = np.nonzero(could)
+    if not len(i):
+        return None
+    sketch = np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(len(rows), setsketch.M)
+    kept: list[np.ndarray] = []
+    for at in range(0, len(i), 8192):
+        a, b = i[at : at + 8192], j[at : at + 8192]
+        same = sketch[a] == sketch[b]
+        bands = same[:, : setsketch.BANDS * setsketch.ROWS].reshape(len(a), setsketch.BANDS, -1).all(axis=2)
+        # A pair belongs to the first band that it shares.
+        own = np.flatnonzero((bands.argmax(axis=1) == band[a]) & (same.sum(axis=1) >= EQUAL))
+        _, lost = setsketch.joint_likelihood(sketch[a[own]], sketch[b[own]], size[a[own]], size[b[own]], LEAST / 100)
+        kept.append(at + own[lost <= SLACK])
+    some = np.concatenate(kept)
+    if not len(some):
+        return None
+    i, j = i[some], j[some]
+    common = _common([np.frombuffer(r[6], np.uint64) for r in rows], i, j)
+    linked = 100 * common >= LEAST * (size[i] + size[j] - common)
+    i, j = node[i[linked]], node[j[linked]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of classes in different components; rows come sorted by bucket and pair of blocks.
+    """Rows come sorted by bucket; one bucket, or one pair of its blocks, is held at a time.
 
     A row's ``side`` tells which block of the pair it is in; with one block, its rows meet each other.
     """
     held, rows = None, []
-
-    def pairs() -> Iterator[pa.RecordBatch]:
-        node = np.array([r[0] for r in rows], np.int64)
-        root = np.array([r[1] for r in rows], np.int64)
-        size = np.array([r[2] for r in rows], float)
-        side = np.array([r[4] for r in rows])
-        sketch = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), setsketch.M)
-        for i in range(len(rows)):
-            others = (root != root[i]) & (100 * np.minimum(size, size[i]) >= LEAST * np.maximum(size, size[i]))
-            others &= (side != side[i]) if side.any() else np.ones(len(rows), bool)
-            others[: i + 1] = False
-            j = np.flatnonzero(others)
-            if not len(j):
-                continue
-            _, lost = setsketch.joint_likelihood(
-                np.broadcast_to(sketch[i], (len(j), setsketch.M)), sketch[j], np.full(len(j), size[i]), size[j], LEAST / 100
-            )
-            j = j[lost <= SLACK]
-            if len(j):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["a", "b"]
-                )
-
     for batch in batches:
-        names = batch.schema.names
-        columns = [batch.column(names.index(c)).to_pylist() for c in ("bucket", "node", "root", "n", "sketch", "side")]
-        for bucket, *row in zip(*columns, strict=True):
+        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if bucket != held:
-                if len(rows) > 1:
-                    yield from pairs()
+                if len(rows) > 1 and (links := _block_links(rows)):
+                    yield links
                 held, rows = bucket, []
             rows.append(row)
-    if len(rows) > 1:
-        yield from pairs()
+    if len(rows) > 1 and (links := _block_links(rows)):
+        yield links
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,23 +208,27 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 def _buckets(classes: DataFrame) -> DataFrame:
     """(key, node, n) of buckets with several classes, beside the number of others that each class meets."""
-    every = classes.select("node", "n", F.explode("keys").alias("key"))
+    every = classes.select("node", "n", F.posexplode("keys").alias("band", "key"))
     several = every.groupBy("key").agg(F.count("*").alias("met")).filter("met > 1")
     met = written(every.join(several, "key"))
     popular = met.groupBy("node").agg(F.sum("met").alias("popular"))
     return written(met.join(popular, "node"))
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) among ``pairs`` whose full sets are similar enough. ``pairs`` are shuffled with the texts of b, once each."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(classes.join(nodes, "node").select("node", "s", "t"))
+def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of some classes."""
+    wanted = written(classes.join(nodes.distinct(), "node").select("node", "s", "t"))
     text = F.coalesce("text", F.lit(""))
     whole = docs.select(text.alias("text"), *_text_hashes(text))
-    # Texts that no pair names are left out before the shuffle; equal texts count once.
-    maybe = possibly_entered(whole, "s", wanted.select("s")).drop("t")
-    some = maybe.groupBy("s").agg(F.first("text").alias("text"))
-    texts = written(wanted.join(some, "s").select("node", "text"))
+    # Texts that are not wanted are left out before the shuffle; equal texts count once.
+    some = possibly_entered(whole, "s", wanted.select("s")).groupBy("s", "t").agg(F.first("text").alias("text"))
+    return wanted.join(some, ["s", "t"]).select("node", "text")
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) among ``pairs`` whose full sets are similar enough. ``pairs`` are shuffled with the texts of b, once each."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    texts = written(_texts(nodes, classes, docs))
     parted = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
     members = parted.join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
     centres = parted.select("a", "part").distinct().join(texts.withColumnRenamed("node", "a"), "a")
@@ -213,25 +256,26 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
     links = _confirm(likely, classes, docs)
     roots = components(links)
     # What is left: buckets with several components.
-    rooted = rows.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"), "met")
+    rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("met"))
     open_ = mixed.filter("x != y and met > 2").select("key", F.ceil(F.col("met") / BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("node", F.lit(13)), F.col("blocks"))
-    left = rooted.drop("met").join(open_, "key").withColumn("block", block)
+    left = written(
+        rooted.select("key", "node", "root", "band", "n").join(open_, "key").withColumn("block", block)
+    )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     spread = left.withColumn("other", other).select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"),
         "node",
         "root",
+        "band",
         "n",
         (F.col("block") > F.col("other")).alias("side"),
-        (F.col("blocks") > 1).alias("several"),
     )
-    met = spread.join(sketches, "node").select("bucket", "node", "root", "n", "sketch", "side")
-    dealt = met.repartition("bucket").sortWithinPartitions("bucket")
-    tested = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = dealt.mapInArrow(_across, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
-    more = _confirm(written(across), classes, docs)
+    sets = _texts(left.select("node"), classes, docs).mapInArrow(_set_bytes, "node long, set binary")
+    met = spread.join(classes.select("node", "sketch").join(sets, "node"), "node")
+    dealt = met.select("bucket", "node", "root", "band", "n", "side", "sketch", "set").repartition("bucket")
+    more = written(dealt.sortWithinPartitions("bucket").mapInArrow(_across, "a long, b long").distinct())
     if not more.limit(1).count():
         return roots
     return components(links.union(more))

@@ -34,7 +34,9 @@ MANY = 4096
 #: Bytes of contexts whose suffixes are sorted together.
 BLOCK_BYTES = 1 << 20
 #: A longer text is handled in pieces, which share strings' bytes but not strings.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
+#: Bytes of short texts that are handled together.
+RUN_BYTES = 1 << 18
 _random = np.random.default_rng(7)
 _BYTES = _random.integers(0, 2**64, (2, 256), np.uint64)
 _BASES = [int(b) * 2 + 1 for b in _random.integers(0, 2**63, 2)]
@@ -101,7 +103,7 @@ def anchored(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first row, offsets, bytes, bytes of the first row before these); long texts come in overlapping pieces."""
-    for first, _, offsets, data in text_runs(column):
+    for first, _, offsets, data in text_runs(column, RUN_BYTES):
         if len(offsets) == 2 and len(data) > PIECE_BYTES:
             for at in range(0, len(data) - LENGTH + 1, PIECE_BYTES):
                 part = data[at : at + PIECE_BYTES + LENGTH - 1]
@@ -110,10 +112,9 @@ def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, int
             yield first, offsets, data, 0
 
 
-def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, offsets, data, _ in _pieces(batch.column(0)):
-            yield pa.RecordBatch.from_arrays([pa.array(anchored(offsets, data)[4].view(np.int64))], names=["h"])
+def _anchor_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    found = [anchored(offsets, data)[4] for _, offsets, data, _ in _pieces(batch.column(0))]
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
 def _probes(h: np.ndarray, segments: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -261,27 +262,28 @@ def _hashed_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the union of their spans."""
-    for batch in batches:
-        kept, removed, spans = [], [], []
-        for text, firsts, afters in zip(*(x.to_pylist() for x in batch.columns[:3]), strict=True):
-            data = text.encode()
-            order = np.argsort(np.array(firsts, np.int64), kind="stable")
-            first = np.array(firsts, np.int64)[order]
-            reach = np.maximum.accumulate(np.array(afters, np.int64)[order])
-            new = np.r_[True, first[1:] > reach[:-1]]
-            starts, ends = first[new], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(first) - 1]]
-            kept.append(b"".join(data[a:b] for a, b in zip([0, *ends], [*starts, len(data)], strict=True)))
-            removed.append(int((ends - starts).sum()))
-            spans.append(len(starts))
-        yield pa.RecordBatch.from_arrays(
-            [
-                *batch.columns[3:],
-                pa.array(removed, pa.int64()),
-                pa.array(spans, pa.int64()),
-                pa.array(kept, pa.binary()),
-            ],
-            names=[*batch.schema.names[3:], "n_removed", "n_spans", "kept"],
-        )
+    for whole in batches:
+        for batch in (whole.slice(at, 256) for at in range(0, len(whole), 256)):
+            kept, removed, spans = [], [], []
+            for text, firsts, afters in zip(*(x.to_pylist() for x in batch.columns[:3]), strict=True):
+                data = text.encode()
+                order = np.argsort(np.array(firsts, np.int64), kind="stable")
+                first = np.array(firsts, np.int64)[order]
+                reach = np.maximum.accumulate(np.array(afters, np.int64)[order])
+                new = np.r_[True, first[1:] > reach[:-1]]
+                starts, ends = first[new], reach[np.r_[np.flatnonzero(new)[1:] - 1, len(first) - 1]]
+                kept.append(b"".join(data[a:b] for a, b in zip([0, *ends], [*starts, len(data)], strict=True)))
+                removed.append(int((ends - starts).sum()))
+                spans.append(len(starts))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[3:],
+                    pa.array(removed, pa.int64()),
+                    pa.array(spans, pa.int64()),
+                    pa.array(kept, pa.binary()),
+                ],
+                names=[*batch.schema.names[3:], "n_removed", "n_spans", "kept"],
+            )
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -300,8 +302,7 @@ def repeated_spans(docs: DataFrame, segments: int = SEGMENTS, many: int = MANY)
     several = written(several.select("text", "s", "t", "times"))
     alone = flagged.filter("not _maybe").select("text", "s", "t", F.lit(1).cast("long").alias("times"))
     distinct = alone.unionByName(several)
-    anchors = distinct.select("text").mapInArrow(_anchor_hashes, "h long")
-    counted = written(repeated_cells(anchors, segments, many=many))
+    counted = written(repeated_cells(distinct.select("text"), segments, many=many, hashes_of=_anchor_hashes))
     filters = spark.sparkContext.broadcast(
         (CellBits(counted, "words", segments), CellBits(counted.filter("often is not null"), "often", segments))
     )
