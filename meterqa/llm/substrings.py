@@ -9,8 +9,8 @@ sort or ship, so the work is cut by content, without loss:
    with counts, a second keeps those entered twice; false hits cost only work.
 3. For runs of strings with one anchor the text around it (a context) is shuffled by the anchor, equal contexts of a task once. Tasks
    sort the suffixes of a block of whole anchors at a time (``suffixes``), which bounds memory, and report strings found twice.
-4. Anchors with more than ``MANY`` places could not be held in a task. Their strings are counted by 128-bit hashes instead, with
-   counts taken before the shuffle.
+4. Anchors with more than ``MANY`` places could not be held in a task. Equal contexts of those are made one, and a filter as in 2 leaves
+   out strings that occur once in them. The others are counted by 128-bit hashes, with counts taken before the shuffle.
 """
 
 from __future__ import annotations
@@ -241,23 +241,35 @@ def _sorted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from found()
 
 
-def _hashed_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of the contexts, as two hashes."""
-    for batch in batches:
-        for c, d, n, times, context in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-            data = np.frombuffer(context, np.uint8)
-            g, h = (_Hashes(data, i).grams(LENGTH).view(np.int64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(g),
-                    pa.array(h),
-                    pa.array(np.full(n, c)),
-                    pa.array(np.full(n, d)),
-                    pa.array(np.arange(n)),
-                    pa.array(np.full(n, times)),
-                ],
-                names=["g", "h", "c", "d", "first", "times"],
-            )
+def _string_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    found = [_Hashes(np.frombuffer(x.as_py(), np.uint8), 0).grams(LENGTH) for x in batch.column(0)]
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
+def _hashed_strings(twice):
+    """The strings of the contexts that may occur twice, as two hashes."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, d, times, context in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                data = np.frombuffer(context, np.uint8)
+                g, h = (_Hashes(data, i).grams(LENGTH) for i in (0, 1))
+                some = np.arange(len(g)) if times > 1 else np.flatnonzero(twice.value.has(g))
+                if not len(some):
+                    continue
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(g[some].view(np.int64)),
+                        pa.array(h[some].view(np.int64)),
+                        pa.array(np.full(len(some), c)),
+                        pa.array(np.full(len(some), d)),
+                        pa.array(some),
+                        pa.array(np.full(len(some), times)),
+                    ],
+                    names=["g", "h", "c", "d", "first", "times"],
+                )
+
+    return strings
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,8 +322,11 @@ def repeated_spans(docs: DataFrame, segments: int = SEGMENTS, many: int = MANY)
     carried = contexts.filter("times > 0")
     few = carried.filter("not many").select("key", "c", "d", "n", "times", "context")
     found = few.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_blocks, FOUND)
-    strings = carried.filter("many").select("c", "d", "n", "times", "context")
-    strings = strings.mapInArrow(_hashed_strings, "g long, h long, c long, d long, first long, times long")
+    crowded = carried.filter("many").groupBy("c", "d").agg(F.sum("times").alias("times"), F.first("context").alias("context"))
+    crowded = written(crowded)
+    again = written(repeated_cells(crowded.select("context"), segments, hashes_of=_string_hashes))
+    twice = spark.sparkContext.broadcast(CellBits(again, "words", segments))
+    strings = crowded.mapInArrow(_hashed_strings(twice), "g long, h long, c long, d long, first long, times long")
     common = strings.groupBy("g", "h").agg(F.sum("times").alias("times")).filter("times > 1").drop("times")
     counted_out = strings.join(common, ["g", "h"]).select("c", "d", "first", (F.col("first") + 1).alias("after"))
     marked = found.unionByName(counted_out).distinct()
