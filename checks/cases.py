@@ -190,7 +190,7 @@ def stitch_plan(spark, d):
 @query
 def stitched_series(spark, d):
     rows = series.accepted_measurements(v.readings(spark, d))
-    return series.in_segments(rows, _plan(spark, d), F.to_date("date_time"))
+    return series.stitched_readings(rows, _plan(spark, d), F.to_date("date_time"))
 
 
 @query
@@ -388,6 +388,15 @@ def qa_by_measurement(spark, d):
     return floated(table, *_QA_COUNTS)
 
 
+@query
+def nan_readings(spark, d):
+    """Quality of readings whose values are text, NaN among them."""
+    table = reports.quality_combined(
+        v.text_readings(spark, d), v.catalog(spark, d), v.requested(spark, d), grain=v.GRAIN
+    )
+    return floated(table, "meas_types", "meas_used", *_QA_COUNTS)
+
+
 # --- reporting frequency ----------------------------------------------------------------
 
 
@@ -507,10 +516,8 @@ def meters_from_sites(spark, d):
 
 @query
 def meters_from_consents(spark, d):
-    numbers = (
-        v.table(spark, d, "lineitem")
-        .filter(F.col("l_returnflag") == "R")
-        .select(F.concat(F.lit("CRC"), F.col("l_orderkey").cast("string")).alias("k"))
+    numbers = v.table(spark, d, "lineitem").select(
+        F.concat(F.lit("CRC"), F.col("l_orderkey").cast("string")).alias("k")
     )
     return reports.meters_from_consents(
         v.consents(spark, d), tables.site_list(v.readings(spark, d)), numbers
@@ -590,6 +597,12 @@ def daily_source_reconcile(spark, d):
     ).orderBy("site_id", "date")
 
 
+@query
+def wh_null_sources(spark, d):
+    table = reports.warehouse_daily(v.warehouse_gaps(spark, d), grain=v.GRAIN)
+    return rounded(table, 3, "daily_measured_value", "max_value", "min_value", "difference")
+
+
 # --- scalar functions ---------------------------------------------------------------------------
 
 

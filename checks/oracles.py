@@ -41,13 +41,18 @@ CTES: dict[str, str] = {}
 
 CTES["e"] = f"""
 SELECT {_meter("user_id % 10")} AS site,
-  CASE WHEN event_type = 'click' AND ts < TIMESTAMP '2024-01-12' THEN 'Compliance Volume'
+  CASE WHEN event_type = 'error' THEN 'Stage'
        WHEN event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-20' THEN 'Volume'
        WHEN event_type = 'signup' AND ts >= TIMESTAMP '2024-01-13' AND ts < TIMESTAMP '2024-01-16' THEN 'Volume [Flow]'
        WHEN event_type = 'view' AND ts >= TIMESTAMP '2024-01-18' THEN 'Water Meter'
-       ELSE 'Stage' END AS measurement,
+       WHEN ts < TIMESTAMP '2024-01-12' THEN 'Compliance Volume'
+       WHEN ts < TIMESTAMP '2024-01-20' THEN 'Volume'
+       ELSE 'Water Meter' END AS measurement,
   ts AS date_time, {VALUE} AS value
 FROM events"""
+CTES["en"] = CTES["e"].replace(
+    f"{VALUE} AS value", f"CASE WHEN event_id % 17 <> 3 AND event_id % 29 <> 5 THEN {VALUE} END AS value"
+)
 CTES["cat"] = """
 SELECT site, measurement,
   CASE WHEN measurement = 'Compliance Volume' AND CAST(substr(site, 3, 2) AS INTEGER) % 5 = 0 THEN NULL
@@ -75,9 +80,9 @@ SELECT site, measurement, segment_no, start_date, to_date AS end_date, start_dat
   FROM {src} WINDOW w AS (PARTITION BY site ORDER BY from_ts, measurement)) q"""
 
 
-def _stitched(plan: str) -> str:
+def _stitched(plan: str, rows: str = "e") -> str:
     return f"""
-SELECT e.*, p.segment_no FROM e JOIN {plan} p ON e.site = p.site AND e.measurement = p.measurement
+SELECT e.*, p.segment_no FROM {rows} e JOIN {plan} p ON e.site = p.site AND e.measurement = p.measurement
   AND p.taken AND CAST(e.date_time AS DATE) BETWEEN p.start_date AND p.end_date"""
 
 
@@ -94,6 +99,8 @@ CTES["plan"] = _plan("proc")
 CTES["plan_w"] = _plan("proc_w")
 CTES["stitched"] = _stitched("plan")
 CTES["stitched_w"] = _stitched("plan_w")
+CTES["stitched_n"] = _stitched("plan", "en")
+CTES["vol_n"] = _combined("stitched_n")
 CTES["vol_c"] = _combined("stitched")
 CTES["vol_w"] = _combined("stitched_w")
 CTES["vol_r"] = f"""
@@ -154,11 +161,10 @@ CTES["exts"] = """
 SELECT CASE WHEN contains(site, ',') THEN site ELSE regexp_replace(site, '-M1$', '') END AS ext_site_id,
   nztmx, nztmy, swaz_name FROM faulty"""
 CTES["m"] = f"""
-SELECT site, date_time, value FROM (
-  SELECT {_meter("l_suppkey % 10")} AS site, l_suppkey % 10 AS i, l_shipdate AS date_time, l_quantity AS value,
-    date_diff('day', CAST(l_shipdate AS DATE), DATE '{v.MODES_AS_OF}') AS a FROM lineitem) q
-WHERE i <= 4 OR (i = 5 AND a < 91) OR (i = 6 AND a > 91 AND a < 182) OR (i = 7 AND a > 182 AND a < 273)
-  OR (i = 8 AND a > 273 AND a < 364) OR (i = 9 AND a IN (100, 200, 300))"""
+SELECT site, value, CAST(DATE '{v.MODES_AS_OF}' - CAST(CASE WHEN i <= 4 THEN a WHEN i = 5 THEN (a % 91 + 91) % 91
+    WHEN i = 9 THEN 3 + 100 * ((a % 3 + 3) % 3) ELSE 92 + 91 * (i - 6) + (a % 90 + 90) % 90 END AS INTEGER) AS TIMESTAMP) AS date_time
+FROM (SELECT {_meter("l_suppkey % 10")} AS site, l_suppkey % 10 AS i, l_quantity AS value,
+    date_diff('day', CAST(l_shipdate AS DATE), DATE '{v.MODES_AS_OF}') AS a FROM lineitem) q"""
 CTES["m_year"] = f"""
 SELECT * FROM m WHERE date_time BETWEEN TIMESTAMP '{v.MODES_AS_OF}' - INTERVAL 365 DAY AND TIMESTAMP '{v.MODES_AS_OF}'"""
 CTES["win"] = f"""
@@ -209,20 +215,28 @@ SELECT *, lag(observation_value) OVER w AS prev_value, lag(observation_date_time
 WINDOW w AS (PARTITION BY site_id, attribute_name, data_source ORDER BY observation_date_time, observation_value)"""
 
 
-def _measured(flow: str, average_flow: str) -> str:
+def _measured(flow: str, average_flow: str, rows: str = "wh_l") -> str:
     return f"""
 SELECT *, CASE attribute_name WHEN 'Water Meter' THEN observation_value - prev_value
     WHEN 'Flow' THEN {flow} WHEN 'Average Flow' THEN {average_flow} ELSE observation_value END AS measured_value
 FROM (SELECT *, CAST(date_diff('second', prev_time, observation_date_time) AS DOUBLE) AS secs,
-  CAST(date_diff('hour', prev_time, observation_date_time) AS DOUBLE) AS hrs FROM wh_l) q"""
+  CAST(date_diff('hour', prev_time, observation_date_time) AS DOUBLE) AS hrs FROM {rows}) q"""
 
 
-CTES["wh_m"] = _measured(
-    "observation_value * CAST(1000 AS DOUBLE) / nullif(secs, 0)", "observation_value / nullif(hrs, 0)"
-)
+_PUBLISHED = ("observation_value * CAST(1000 AS DOUBLE) / nullif(secs, 0)", "observation_value / nullif(hrs, 0)")
+CTES["wh_m"] = _measured(*_PUBLISHED)
 CTES["wh_p"] = _measured(
     "observation_value * secs / CAST(1000 AS DOUBLE)", "observation_value * hrs"
 )
+CTES["whn"] = f"""
+SELECT * REPLACE (CASE WHEN event_id % 13 <> 6 THEN attribute_name END AS attribute_name,
+  CASE WHEN event_id % 11 <> 4 THEN data_source END AS data_source) FROM (
+  {CTES["wh"].replace("SELECT", "SELECT event_id,", 1).strip()}) q"""
+CTES["whn_l"] = CTES["wh_l"].replace("FROM wh\n", "FROM whn\n")
+CTES["whn_m"] = _measured(*_PUBLISHED, "whn_l")
+CTES["whn_d"] = """
+SELECT site_id, CAST(observation_date_time AS DATE) AS date, data_source, sum(measured_value) AS daily_measured_value
+FROM whn_m WHERE measured_value >= 0 GROUP BY ALL"""
 CTES["wh_d"] = """
 SELECT site_id, CAST(observation_date_time AS DATE) AS date, data_source, sum(measured_value) AS daily_measured_value
 FROM wh_m WHERE measured_value >= 0 GROUP BY ALL"""
@@ -323,12 +337,24 @@ _add(
     "consents_exclude_use",
     "SELECT record_number, water_use FROM c WHERE water_use IS NULL OR water_use <> 'hydroelectric'",
 )
+_FORMS = ("%d/%m/%Y %H:%M", "%Y-%m-%d", "%Y-%m-%d %H:%M:%S")
+
+
+def _exported(x: str) -> str:
+    first, second, third = (f"strftime({x}, '{form}')" for form in _FORMS)
+    return f"CASE WHEN right(record_number, 1) < '4' THEN {first} WHEN right(record_number, 1) < '7' THEN {second} ELSE {third} END"
+
+
+def _parsed(x: str) -> str:
+    return "coalesce(" + ", ".join(f"try_strptime({x}, '{form}')" for form in _FORMS) + ")"
+
+
 _add(
     "consents_min_duration",
-    """SELECT record_number, from_date, to_date FROM (
-  SELECT record_number, try_strptime(f, '%d/%m/%Y %H:%M') AS from_date, try_strptime(t, '%d/%m/%Y %H:%M') AS to_date
-  FROM (SELECT record_number, strftime(from_date, '%d/%m/%Y %H:%M') AS f,
-    CASE WHEN record_number LIKE '%77' THEN 'until further notice' ELSE strftime(to_date, '%d/%m/%Y %H:%M') END AS t FROM c) x) y
+    f"""SELECT record_number, from_date, to_date FROM (
+  SELECT record_number, {_parsed("f")} AS from_date, {_parsed("t")} AS to_date
+  FROM (SELECT record_number, {_exported("from_date")} AS f,
+    CASE WHEN record_number LIKE '%77' THEN 'until further notice' ELSE {_exported("to_date")} END AS t FROM c) x) y
 WHERE date_diff('day', from_date, to_date) > 10""",
 )
 _add(
@@ -507,17 +533,19 @@ def _spike_sums(gate: str, vol: str) -> str:
     return ", ".join(f"sum({_flag(k, gate=gate, vol=vol)}) AS spikes_sd{k}" for k in (5, 10, 20))
 
 
-_add(
-    "qa_combined",
-    f"""WITH p AS ({_params("vol_c")}),
+def _qa_combined(vol: str) -> str:
+    return f"""WITH p AS ({_params(vol)}),
 s AS (SELECT x.site, count(DISTINCT measurement) FILTER (vol >= 0) AS meas_used, {_QA_COLUMNS},
-  {_spike_sums("kept_rows", "x.vol")} FROM vol_c x LEFT JOIN p ON p.site = x.site GROUP BY x.site),
+  {_spike_sums("kept_rows", "x.vol")} FROM {vol} x LEFT JOIN p ON p.site = x.site GROUP BY x.site),
 t AS (SELECT site, count(*) AS meas_types FROM proc GROUP BY site)
 SELECT req.site, CASE WHEN held.site IS NULL THEN 'N' ELSE 'Y' END AS in_archive,
   CAST(CASE WHEN held.site IS NOT NULL THEN coalesce(meas_types, 0) END AS DOUBLE) AS meas_types,
   CAST(meas_used AS DOUBLE) AS meas_used, {_QA_SHOWN}
-FROM req LEFT JOIN held ON held.site = req.site LEFT JOIN s ON s.site = req.site LEFT JOIN t ON t.site = req.site""",
-)
+FROM req LEFT JOIN held ON held.site = req.site LEFT JOIN s ON s.site = req.site LEFT JOIN t ON t.site = req.site"""
+
+
+_add("qa_combined", _qa_combined("vol_c"))
+_add("nan_readings", _qa_combined("vol_n"))
 _add(
     "qa_by_measurement",
     f"""WITH p AS ({_params("vol_c")}),
@@ -611,7 +639,7 @@ _add("meters_from_sites", _meter_list("ext_site_id IN (SELECT split_part(site, '
 _add(
     "meters_from_consents",
     _meter_list(
-        "record_number IN (SELECT 'CRC' || CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')"
+        "record_number IN (SELECT 'CRC' || CAST(l_orderkey AS VARCHAR) FROM lineitem)"
     ),
 )
 _add(
@@ -639,14 +667,18 @@ _add(
     "wh_daily_by_source",
     f"SELECT site_id, {iso('date')} AS date, data_source, {even('daily_measured_value', 3)} AS daily_measured_value FROM wh_d",
 )
-_add(
-    "daily_source_reconcile",
-    f"""WITH n AS (SELECT site_id, date, count(*) AS duplicate_days, max(daily_measured_value) AS hi,
-  min(daily_measured_value) AS lo FROM wh_d WHERE site_id IN (SELECT site FROM req) GROUP BY site_id, date)
+
+
+def _reconciled(daily: str, condition: str) -> str:
+    return f"""WITH n AS (SELECT site_id, date, count(*) AS duplicate_days, max(daily_measured_value) AS hi,
+  min(daily_measured_value) AS lo FROM {daily} WHERE {condition} GROUP BY site_id, date)
 SELECT s.site_id, {iso("s.date")} AS date, data_source, {even("daily_measured_value", 3)} AS daily_measured_value,
   duplicate_days, {even("hi", 3)} AS max_value, {even("lo", 3)} AS min_value, {even("hi - lo", 3)} AS difference
-FROM wh_d s JOIN n ON n.site_id = s.site_id AND n.date = s.date ORDER BY 1, 2""",
-)
+FROM {daily} s JOIN n ON n.site_id = s.site_id AND n.date = s.date ORDER BY 1, 2"""
+
+
+_add("daily_source_reconcile", _reconciled("wh_d", "site_id IN (SELECT site FROM req)"))
+_add("wh_null_sources", _reconciled("whn_d", "true"))
 
 
 def _water_year(x: str) -> str:

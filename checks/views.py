@@ -60,11 +60,19 @@ def _event_value() -> Column:
     return sign * F.col("value") * F.col("value") * F.lit(VALUE_SCALE)
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping series of ten sites within a month."""
+def readings(spark: SparkSession, sf_dir: str, value: Column | None = None) -> DataFrame:
+    """Overlapping series of ten sites within a month; only ``error`` events are of a kind that reports leave out.
+
+    An event outside the days of its own kind is of the kind in use by then.
+    """
     kind, ts = F.col("event_type"), F.col("ts")
+    in_use = (
+        F.when(ts < _at("2024-01-12"), "Compliance Volume")
+        .when(ts < _at("2024-01-20"), "Volume")
+        .otherwise("Water Meter")
+    )
     measurement = (
-        F.when((kind == "click") & (ts < _at("2024-01-12")), "Compliance Volume")
+        F.when(kind == "error", "Stage")
         .when(
             (kind == "purchase") & (ts >= _at("2024-01-08")) & (ts < _at("2024-01-20")), "Volume"
         )
@@ -73,13 +81,13 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Volume [Flow]",
         )
         .when((kind == "view") & (ts >= _at("2024-01-18")), "Water Meter")
-        .otherwise("Stage")
+        .otherwise(in_use)
     )
     return table(spark, sf_dir, "events").select(
         meter_of_ten(F.col("user_id")).alias("site"),
         measurement.alias("measurement"),
         ts.alias("date_time"),
-        _event_value().alias("value"),
+        (_event_value() if value is None else value).alias("value"),
     )
 
 
@@ -102,7 +110,12 @@ def all_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def warehouse(
+    spark: SparkSession,
+    sf_dir: str,
+    no_source: Column | None = None,
+    no_attribute: Column | None = None,
+) -> DataFrame:
     attribute = F.create_map(
         *[
             F.lit(x)
@@ -116,15 +129,23 @@ def warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
             for x in pair
         ]
     )
+    kind = attribute[F.col("event_type")]
+    source = F.concat(F.lit("S"), (F.col("event_id") % 3).cast("string"))
     return table(spark, sf_dir, "events").select(
         meter_of_ten(F.col("user_id")).alias("site_id"),
-        attribute[F.col("event_type")].alias("attribute_name"),
-        F.concat(F.lit("S"), (F.col("event_id") % 3).cast("string")).alias("data_source"),
+        (kind if no_attribute is None else F.when(~no_attribute, kind)).alias("attribute_name"),
+        (source if no_source is None else F.when(~no_source, source)).alias("data_source"),
         _event_value().alias("observation_value"),
         F.col("ts").alias("observation_date_time"),
     )
 
 
+def warehouse_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse with no source for some readings and no attribute for others."""
+    no_source, no_attribute = F.col("event_id") % 11 == 4, F.col("event_id") % 13 == 6
+    return warehouse(spark, sf_dir, no_source, no_attribute)
+
+
 def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of daily volumes; early August is reported on the 13th."""
     shipped = F.to_date("l_shipdate")
@@ -141,21 +162,20 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mode_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sites that report all year, in one quarter only, or hardly at all."""
+    """Sites that report all year, in one quarter only, or on three days; days fold into the site's quarter."""
     index = F.col("l_suppkey") % 10
-    age = F.datediff(F.lit(MODES_AS_OF).cast("date"), F.to_date("l_shipdate"))
-    kept = (
-        (index <= 4)
-        | ((index == 5) & (age < 91))
-        | ((index == 6) & (age > 91) & (age < 182))
-        | ((index == 7) & (age > 182) & (age < 273))
-        | ((index == 8) & (age > 273) & (age < 364))
-        | ((index == 9) & age.isin(100, 200, 300))
+    as_of = F.lit(MODES_AS_OF).cast("date")
+    age = F.datediff(as_of, F.to_date("l_shipdate"))
+    folded = (
+        F.when(index <= 4, age)
+        .when(index == 5, F.pmod(age, F.lit(91)))
+        .when(index == 9, 3 + 100 * F.pmod(age, F.lit(3)))
+        .otherwise(92 + 91 * (index - 6) + F.pmod(age, F.lit(90)))
     )
     return table(spark, sf_dir, "lineitem").select(
         meter_of_ten(F.col("l_suppkey")).alias("site"),
-        F.when(kept, "Compliance Volume").otherwise("Stage").alias("measurement"),
-        F.col("l_shipdate").alias("date_time"),
+        F.lit("Compliance Volume").alias("measurement"),
+        F.date_sub(as_of, folded.cast("int")).cast("timestamp_ntz").alias("date_time"),
         F.col("l_quantity").alias("value"),
     )
 
@@ -186,18 +206,35 @@ def consents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consents_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The permits with dates as exported text, a few of them unusable."""
+    """The permits with dates as exported text in three forms, a few of them unusable."""
     broken = F.col("record_number").endswith("77")
+    last = F.substring("record_number", -1, 1)
+
+    def text(column: str) -> Column:
+        return (
+            F.when(last < "4", F.date_format(column, "d/MM/yyyy H:mm"))
+            .when(last < "7", F.date_format(column, "yyyy-MM-dd"))
+            .otherwise(F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
+        )
+
     return consents(spark, sf_dir).withColumns(
         {
-            "from_date": F.date_format("from_date", "d/MM/yyyy H:mm"),
-            "to_date": F.when(broken, "until further notice").otherwise(
-                F.date_format("to_date", "d/MM/yyyy H:mm")
-            ),
+            "from_date": text("from_date"),
+            "to_date": F.when(broken, "until further notice").otherwise(text("to_date")),
         }
     )
 
 
+def text_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings with values as exported text, some of them NaN and some no numbers."""
+    value = (
+        F.when(F.col("event_id") % 17 == 3, "NaN")
+        .when(F.col("event_id") % 29 == 5, "gap")
+        .otherwise(_event_value().cast("string"))
+    )
+    return readings(spark, sf_dir, value)
+
+
 def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 sites; the archive holds ten of them."""
     return table(spark, sf_dir, "nation").select(meter(F.col("n_nationkey")).alias("site"))

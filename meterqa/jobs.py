@@ -81,6 +81,8 @@ def weekly_report(spark: SparkSession, args) -> None:
     table = reports.weekly_missing_report(
         modes, obs, _archive_sites(spark, args, obs), args.week_end
     )
+    last = F.coalesce(F.col("last_report").cast("string"), F.lit(schema.UNKNOWN_REPORT))
+    table = table.withColumn("last_report", last)
     files.write_csv(table, files.weekly_report_path(args.out, args.week_end))
 
 
@@ -127,7 +129,7 @@ def time_series(spark: SparkSession, args) -> None:
         )
     if args.export in ("p", "b"):
         if args.consents:
-            consents = with_dates(_consents(spark, args.consents))
+            consents = with_dates(_consents(spark, args.consents), args.date_format)
             table = reports.daily_series_consent(days, consents)
         else:
             table = reports.daily_series(days)
@@ -138,17 +140,18 @@ def meter_list(spark: SparkSession, args) -> None:
     consents = _consents(spark, args.consents)
     obs = _observations(spark, args) if args.observations else None
     archive = _archive_sites(spark, args, obs)
+    dates = {"date_formats": args.date_format}
     if args.site_ids:
         keys = files.read_keys(spark, args.site_ids, "ExtSiteID", "ext_site_id")
-        table = reports.meters_from_sites(consents, archive, keys)
+        table = reports.meters_from_sites(consents, archive, keys, **dates)
     elif args.record_numbers:
         keys = files.read_keys(spark, args.record_numbers, "RecordNumber", "record_number")
-        table = reports.meters_from_consents(consents, archive, keys)
+        table = reports.meters_from_consents(consents, archive, keys, **dates)
     elif args.where:
         column, _, values = args.where.partition("=")
         ext_sites = spark.read.parquet(args.ext_sites)
         where = {column: values.split(";")}
-        table = reports.meters_from_catchment(consents, archive, ext_sites, where)
+        table = reports.meters_from_catchment(consents, archive, ext_sites, where, **dates)
     else:
         raise ValueError("give --site-ids, --record-numbers or --where")
     files.write_csv(table, args.out)
@@ -186,6 +189,8 @@ def _parser() -> argparse.ArgumentParser:
     window = (("--from-date", {"type": parse_day}), ("--to-date", {"type": parse_day}))
     part = ("--slice", {"nargs": 2, "type": int, "help": "site positions, from and to"})
     consents, needed = ("--consents", {}), {"required": True}
+    formats = {"nargs": "+", "default": list(schema.CONSENT_DATE_FORMATS)}
+    dates = ("--date-format", formats | {"help": "of permit dates that are text; the first that fits"})
 
     job("reporting-modes", reporting_modes, site, sites, as_of, part)
     job("weekly-report", weekly_report, archive, week_end, ("--modes", needed))
@@ -201,7 +206,7 @@ def _parser() -> argparse.ArgumentParser:
         ("--by-measurement", {"action": "store_true"}),
     )
     export = ("--export", {"default": "b", "choices": ["s", "p", "b"]})
-    job("time-series", time_series, site, sites, catalog, consents, grain, export, *window)
+    job("time-series", time_series, site, sites, catalog, consents, dates, grain, export, *window)
     job(
         "meter-list",
         meter_list,
@@ -211,6 +216,7 @@ def _parser() -> argparse.ArgumentParser:
         ("--record-numbers", {}),
         ("--where", {"help": "column=value;value"}),
         ("--ext-sites", {}),
+        dates,
         observations="optional",
     )
     rule = ("--rule", {"default": "as_published", "choices": ["as_published", "physical"]})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,21 +11,26 @@ from pyspark.sql import types as T
 
 from meterqa.functions.calendar import day_lit
 from meterqa.functions.units import rate_to_daily_volume
-from meterqa.schema import ACTIVE_CONSENT, CONSENT_DATE_FORMAT, HYDROELECTRIC
+from meterqa.schema import ACTIVE_CONSENT, CONSENT_DATE_FORMATS, HYDROELECTRIC
+from meterqa.sources.tables import as_number
 
 Day = str | dt.date
 
 
-def as_timestamp(df: DataFrame, column: str, fmt: str = CONSENT_DATE_FORMAT) -> Column:
-    """A date column as timestamp; text that does not parse becomes null."""
+def as_timestamp(
+    df: DataFrame, column: str, formats: Sequence[str] = CONSENT_DATE_FORMATS
+) -> Column:
+    """A date column as timestamp; the first format that fits a text counts, and one that none fits becomes null."""
     if isinstance(df.schema[column].dataType, T.StringType):
-        return F.try_to_timestamp(column, F.lit(fmt)).cast("timestamp_ntz")
+        text = F.trim(column)
+        parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+        return parsed.cast("timestamp_ntz")
     return F.col(column).cast("timestamp_ntz")
 
 
-def with_dates(consents: DataFrame, fmt: str = CONSENT_DATE_FORMAT) -> DataFrame:
+def with_dates(consents: DataFrame, formats: Sequence[str] = CONSENT_DATE_FORMATS) -> DataFrame:
     return consents.withColumns(
-        {c: as_timestamp(consents, c, fmt) for c in ("from_date", "to_date")}
+        {c: as_timestamp(consents, c, formats) for c in ("from_date", "to_date")}
     )
 
 
@@ -53,9 +59,10 @@ def usable_consents(
     from_date: Day = "1900-07-01",
     to_date: Day = "2100-06-30",
     include_hydroelectric: bool = False,
+    date_formats: Sequence[str] = CONSENT_DATE_FORMATS,
 ) -> DataFrame:
     rows = consents if include_hydroelectric else exclude_use(consents)
-    return overlapping(minimum_duration(with_dates(rows)), from_date, to_date)
+    return overlapping(minimum_duration(with_dates(rows, date_formats)), from_date, to_date)
 
 
 def effective_consents(consents: DataFrame) -> DataFrame:
@@ -75,6 +82,11 @@ def effective_consents(consents: DataFrame) -> DataFrame:
     return consents.join(choice, "ext_site_id").filter(chosen).drop("_has_active", "_latest")
 
 
+def _numbers(consents: DataFrame) -> DataFrame:
+    columns = ("consented_rate", "consented_multiday_volume", "consented_multiday_period")
+    return consents.withColumns({c: as_number(consents, c) for c in columns})
+
+
 def site_limits(consents: DataFrame) -> DataFrame:
     """Limits of the effective permits, straight from all permits.
 
@@ -83,7 +95,7 @@ def site_limits(consents: DataFrame) -> DataFrame:
     of the latest date are picked. No permit is joined or sorted.
     """
     active = F.coalesce(F.col("consent_status") == ACTIVE_CONSENT, F.lit(False))
-    by_date = consents.groupBy("ext_site_id", active.alias("active"), "to_date").agg(
+    by_date = _numbers(consents).groupBy("ext_site_id", active.alias("active"), "to_date").agg(
         F.sum("consented_rate").alias("rate"),
         F.sum("consented_multiday_volume").alias("volume"),
         F.max("consented_multiday_period").alias("period"),
@@ -115,7 +127,8 @@ def site_limits(consents: DataFrame) -> DataFrame:
 def consent_limits(effective: DataFrame) -> DataFrame:
     """Rate, daily volume, multi-day volume and period per take point."""
     return (
-        effective.groupBy("ext_site_id")
+        _numbers(effective)
+        .groupBy("ext_site_id")
         .agg(
             F.coalesce(F.sum("consented_rate"), F.lit(0.0)).alias("max_rate"),
             F.coalesce(F.sum("consented_multiday_volume"), F.lit(0.0)).alias("multiday_vol"),

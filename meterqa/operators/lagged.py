@@ -37,17 +37,13 @@ def bucket_ends(
     grain: str = "day",
     time: str = "date_time",
     value: str = "value",
-    unique_times: bool = True,
 ) -> DataFrame:
-    """Last reading of each series and bucket.
+    """Last reading of each series and bucket, for unique timestamps.
 
-    With unique timestamps the aggregate keeps two numbers and runs as a hash
-    aggregate. Otherwise the larger value of equal timestamps counts as the
-    later one.
+    The aggregate keeps two numbers, so it runs as a hash aggregate before the shuffle.
     """
-    order = F.col(time) if unique_times else F.struct(time, value)
     return bucketed.groupBy(*keys, *GRAINS[grain]).agg(
-        F.max_by(value, order).alias("end_value"), F.max(time).alias("end_time")
+        F.max_by(value, time).alias("end_value"), F.max(time).alias("end_time")
     )
 
 
@@ -81,30 +77,44 @@ def previous_reading(
     ``plan`` keeps only the buckets of its segments, decided on the bucket
     rows, before the readings are joined. Columns of ``per_series`` (one row
     per series) reach the readings the same way, at no extra shuffle of them.
+    Nulls in ``keys`` are values like others; a reading without time comes first.
     """
     bucketed = with_buckets(readings, grain, time)
     on = [*keys, *GRAINS[grain]]
-    ends = bucket_ends(bucketed, keys, grain, time, value, unique_times)
+    # One struct as the key: inside it a null equals a null, so series without a source or kind are series too.
+    bucket = F.struct(*on)
+    tie = [] if unique_times else [value]
+    inside = W.partitionBy("_bucket").orderBy(time, *tie)
+    # Said outright, or a preceding join on the site would leave a site in one place.
+    # The keys travel inside it alone, so that several passes need the same columns and share one shuffle.
+    rest = [c for c in bucketed.columns if c not in on]
+    out = [F.col("_bucket")[c].alias(c) for c in on]
+    dealt = bucketed.select(bucket.alias("_bucket"), *rest).repartition("_bucket")
+    if unique_times:
+        ends = bucket_ends(bucketed, keys, grain, time, value)
+    else:
+        # Of equal times the larger value is the later one; the last row of a bucket is found where the rows lie sorted.
+        marked = dealt.withColumn("_last", F.row_number().over(inside) == F.count(F.lit(1)).over(W.partitionBy("_bucket")))
+        ends = marked.filter("_last").select(*out, F.col(value).alias("end_value"), F.col(time).alias("end_time"))
     if plan is not None:
         ends = in_segments(ends, plan, F.col("date"))
     carried = chain_buckets(ends, series or keys, grain)
     if per_series is not None:
         shared = [c for c in per_series.columns if c in keys]
         carried = carried.join(per_series, shared, "left")
-    tie = [] if unique_times else [value]
-    inside = W.partitionBy(*on).orderBy(time, *tie)
-    # Said outright, or a preceding join on the site would leave a site in one place.
-    stepped = bucketed.repartition(*on).withColumns(
-        {"_value": F.lag(value).over(inside), "_time": F.lag(time).over(inside)}
+    carried = carried.select(bucket.alias("_bucket"), *[c for c in carried.columns if c not in on])
+    stepped = dealt.withColumns(
+        {
+            "_value": F.lag(value).over(inside),
+            "_time": F.lag(time).over(inside),
+            "_first": F.row_number().over(inside) == 1,
+        }
     )
-    first = F.col("_time").isNull()
-    return (
-        stepped.join(carried, on)
-        .withColumns(
-            {
-                "prev_value": F.when(first, F.col("carried_value")).otherwise(F.col("_value")),
-                "prev_time": F.when(first, F.col("carried_time")).otherwise(F.col("_time")),
-            }
-        )
-        .drop("_value", "_time", "carried_value", "carried_time")
+    beside = [c for c in carried.columns if c not in ("_bucket", "carried_value", "carried_time")]
+    return stepped.join(carried, "_bucket").select(
+        *out,
+        *rest,
+        *beside,
+        F.when(F.col("_first"), F.col("carried_value")).otherwise(F.col("_value")).alias("prev_value"),
+        F.when(F.col("_first"), F.col("carried_time")).otherwise(F.col("_time")).alias("prev_time"),
     )

@@ -86,6 +86,19 @@ def in_segments(rows: DataFrame, plan: DataFrame, day: Column) -> DataFrame:
     )
 
 
+def stitched_readings(readings: DataFrame, plan: DataFrame, day: Column) -> DataFrame:
+    """:func:`in_segments` for single readings.
+
+    The plan meets the days of each series first, so that readings are dealt
+    by series and day, and no long series lies in one task.
+    """
+    dated = readings.withColumn("_date", day)
+    days = in_segments(
+        dated.select("site", "measurement", "_date").distinct(), plan, F.col("_date")
+    )
+    return dated.join(days, ["site", "measurement", "_date"]).drop("_date")
+
+
 def whole_extent_plan(processed: DataFrame) -> DataFrame:
     """Plan that keeps every series over its own extent, overlaps included."""
     return processed.select(

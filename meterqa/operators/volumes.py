@@ -11,6 +11,7 @@ from meterqa.functions.calendar import month_label
 from meterqa.operators.lagged import previous_reading, with_buckets
 from meterqa.operators.series import accepted_measurements
 from meterqa.schema import SPIKE_MULTIPLES, WATER_METER
+from meterqa.sources.tables import as_number
 
 SERIES = ["site", "measurement"]
 
@@ -39,9 +40,10 @@ def register_to_volume(
         series = SERIES
     else:
         raise ValueError(f"unknown boundary {boundary!r}")
-    rows = previous_reading(
-        accepted_measurements(readings), SERIES, series, grain, plan, per_series=per_site
-    )
+    # Readings of no site are in no series; said outright, so that passes with and without a join share one shuffle.
+    accepted = accepted_measurements(readings).filter(F.col("site").isNotNull())
+    accepted = accepted.withColumn("value", as_number(readings, "value"))
+    rows = previous_reading(accepted, SERIES, series, grain, plan, per_series=per_site)
     vol = F.when(
         F.col("measurement") == WATER_METER, F.col("value") - F.col("prev_value")
     ).otherwise(F.col("value"))
@@ -50,7 +52,8 @@ def register_to_volume(
 
 def plain_volumes(readings: DataFrame, grain: str = "day") -> DataFrame:
     """Readings that are volumes as they stand."""
-    return with_buckets(readings, grain).withColumn("vol", F.col("value"))
+    numbers = readings.withColumn("value", as_number(readings, "value"))
+    return with_buckets(numbers, grain).withColumn("vol", F.col("value"))
 
 
 def remove_negatives(volumes: DataFrame) -> DataFrame:
@@ -120,10 +123,12 @@ def flag_spikes(
 ) -> DataFrame:
     """Add 1 where a volume exceeds its site's limit, else 0.
 
-    The limits join by site and day, spread over the days first, so that no
-    site's volumes meet in one task. Where volumes come from
-    :func:`register_to_volume`, pass the limits there instead.
+    The limits join by series and time bucket (the bucket columns that the
+    volumes carry), spread over the buckets first, so that no site's volumes
+    meet in one task. Where volumes come from :func:`register_to_volume`, pass
+    the limits there instead.
     """
-    days = volumes.select("site", "date").distinct()
-    by_day = days.join(spike_limits(params, rule, gate), "site", "left")
-    return mark_spikes(volumes.join(by_day, ["site", "date"], "left"))
+    bucket = [c for c in ("site", "measurement", "date", "hour", "minute") if c in volumes.columns]
+    buckets = volumes.select(*bucket).distinct()
+    spread = buckets.join(spike_limits(params, rule, gate), "site", "left")
+    return mark_spikes(volumes.join(spread, bucket, "left"))

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from meterqa.functions.units import measured_volume
 from meterqa.operators.lagged import previous_reading
-from meterqa.sources.tables import Keys, for_keys
+from meterqa.sources.tables import Keys, as_number, for_keys
 
 SERIES = ["site_id", "attribute_name", "data_source"]
 
 
 def scan_sites(warehouse: DataFrame, sites: Keys | None) -> DataFrame:
-    return for_keys(warehouse, "site_id", sites)
+    """Readings of some sites; a value that is NaN, or text that is no number, is null."""
+    value = as_number(warehouse, "observation_value")
+    rows = warehouse.withColumn("observation_value", value)
+    return for_keys(rows, "site_id", sites, spread="observation_date_time")
 
 
 def with_previous(warehouse: DataFrame, grain: str = "day") -> DataFrame:

@@ -46,7 +46,8 @@ Day = str | dt.date
 
 def reporting_modes(observations: DataFrame, as_of: Day, sites: Keys | None = None) -> DataFrame:
     """Normal number of readings per day for every single-meter site."""
-    rows = for_keys(observations, "site", sites).filter(~is_composite(F.col("site")))
+    rows = for_keys(observations, "site", sites, spread="date_time")
+    rows = rows.filter(~is_composite(F.col("site")))
     return reporting.reporting_modes(rows, as_of)
 
 
@@ -120,7 +121,10 @@ def month_hourly_table(
 
 
 def _with_missing(requested: DataFrame, held: DataFrame, summary: DataFrame) -> DataFrame:
-    """Requested sites left-joined to their summary; ``in_archive`` says Y or N."""
+    """Requested sites left-joined to their summary; ``in_archive`` says Y or N.
+
+    A site that is requested twice appears once.
+    """
     known = held.select(F.col(held.columns[0]).alias("site")).distinct()
     return (
         requested.select("site")
@@ -136,10 +140,10 @@ def quality_combined(
     observations: DataFrame, catalog: DataFrame, requested: DataFrame, grain: str = "day"
 ) -> DataFrame:
     """Quality of each requested site's stitched series."""
-    rows = for_keys(observations, "site", requested.select("site"))
+    # The plan covers the requested sites only, so readings need no join with them.
     cat = for_keys(catalog, "site", requested.select("site"))
     processed = series.process_catalog(cat)
-    flagged = flagged_volumes(rows, series.stitch_plan(processed), grain)
+    flagged = flagged_volumes(observations, series.stitch_plan(processed), grain)
     types = series.accepted_measurements(cat).groupBy("site").agg(
         F.count(F.lit(1)).alias("meas_types")
     )
@@ -160,15 +164,14 @@ def quality_by_measurement(
     Spike limits come from the stitched series and need more than 100 positive
     volumes there.
     """
-    rows = for_keys(observations, "site", requested.select("site"))
     cat = for_keys(catalog, "site", requested.select("site"))
     processed = series.process_catalog(cat)
     params = volumes.spike_params(
-        volumes.register_to_volume(rows, series.stitch_plan(processed), grain=grain)
+        volumes.register_to_volume(observations, series.stitch_plan(processed), grain=grain)
     )
     flagged = volumes.mark_spikes(
         volumes.register_to_volume(
-            rows,
+            observations,
             series.whole_extent_plan(processed),
             boundary="reset",
             grain=grain,
@@ -185,6 +188,11 @@ def quality_by_measurement(
 # --- time series ----------------------------------------------------------------
 
 
+def _listed(sites: Keys | None) -> Keys | None:
+    """Sites that the scan itself filters; a table of sites restricts the plan instead."""
+    return None if isinstance(sites, DataFrame) else sites
+
+
 def stitched_volumes(
     observations: DataFrame,
     catalog: DataFrame,
@@ -194,7 +202,9 @@ def stitched_volumes(
     grain: str = "day",
 ) -> DataFrame:
     """Volumes of the stitched series, optionally of a date window."""
-    rows = observations_range(observations, sites, None, from_date, to_date, whole_days=True)
+    rows = observations_range(
+        observations, _listed(sites), None, from_date, to_date, whole_days=True
+    )
     processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
     return volumes.register_to_volume(rows, series.stitch_plan(processed), grain=grain)
 
@@ -233,7 +243,9 @@ def stitched_days(
     Write this table once and build the statistics and the daily series from
     it; the readings are then shuffled once for all of them.
     """
-    rows = observations_range(observations, sites, None, from_date, to_date, whole_days=True)
+    rows = observations_range(
+        observations, _listed(sites), None, from_date, to_date, whole_days=True
+    )
     processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
     return summaries.day_rollup(flagged_volumes(rows, series.stitch_plan(processed), grain))
 

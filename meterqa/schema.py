@@ -19,7 +19,11 @@ WAREHOUSE_FLOW = "Flow"
 WAREHOUSE_AVERAGE_FLOW = "Average Flow"
 ACTIVE_CONSENT = "Issued - Active"
 HYDROELECTRIC = "hydroelectric"
-CONSENT_DATE_FORMAT = "d/MM/yyyy H:mm"
+CONSENT_DATE_FORMATS = (
+    "d/MM/yyyy[ H:mm[:ss]]",
+    "yyyy-MM-dd[ HH:mm[:ss]]",
+    "yyyy-MM-dd'T'HH:mm[:ss]",
+)
 SITE_ID_PATTERN = r"[A-Z]+\d\d/\d+"
 DEFAULT_SERIES_START = "2000-01-01"
 SPIKE_MULTIPLES = (5, 10, 20)
@@ -41,25 +45,6 @@ _TS = T.TimestampNTZType()
 OBSERVATIONS = _table(site=_S, measurement=_S, date_time=_TS, value=_D)
 CATALOG = _table(site=_S, measurement=_S, from_ts=_TS, to_ts=_TS)
 SITES = _table(site_name=_S)
-EXT_SITES = _table(ext_site_id=_S, nztmx=_D, nztmy=_D, swaz_name=_S)
-CONSENTS = _table(
-    record_number=_S,
-    activity=_S,
-    hydro_group=_S,
-    ext_site_id=_S,
-    from_date=_S,
-    to_date=_S,
-    from_month=_I,
-    to_month=_I,
-    consented_rate=_D,
-    consented_multiday_volume=_D,
-    consented_multiday_period=_I,
-    consented_annual_volume=_D,
-    water_use=_S,
-    irrigation_area=_D,
-    consent_status=_S,
-    modified_date=_S,
-)
 WAREHOUSE = _table(
     site_id=_S,
     attribute_name=_S,

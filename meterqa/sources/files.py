@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterqa.functions.calendar import parse_day
 from meterqa.functions.names import file_safe
@@ -12,9 +11,12 @@ from meterqa.schema import REPORTING_MODES
 
 
 def read_site_list(spark: SparkSession, path: str) -> DataFrame:
-    """One site per line, no header; line ends, blanks and empty lines go."""
-    lines = spark.read.schema("site string").csv(path, header=False)
-    return lines.select(F.trim("site").alias("site")).filter(F.col("site") != "")
+    """One site per line, no header; line ends, blanks, quotes around a name and empty lines go.
+
+    A line is one name whole, so a composite name keeps its comma.
+    """
+    name = F.regexp_replace(F.trim(F.regexp_replace("value", r"[\r\n]+", "")), '^"(.*)"$', "$1")
+    return spark.read.text(path).select(F.trim(name).alias("site")).filter(F.col("site") != "")
 
 
 def read_keys(spark: SparkSession, path: str, header: str, name: str) -> DataFrame:
@@ -46,13 +48,15 @@ def write_by_site(
     """One folder per site (and measurement), names made safe for paths.
 
     The rebalance hint gathers a site's rows into few files and splits a site
-    that is too large for one task.
+    that is too large for one task. Each file is in order of date and hour.
     """
     parts = ["site_file"] + (["measurement_file"] if by_measurement else [])
     keyed = df.withColumn("site_file", file_safe(F.col("site")))
     if by_measurement:
         keyed = keyed.withColumn("measurement_file", F.col("measurement"))
-    writer = keyed.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts)
+    order = [c for c in ("month", "date", "hour") if c in df.columns]
+    sorted_ = keyed.hint("rebalance", *parts).sortWithinPartitions(*parts, *order)
+    writer = sorted_.write.mode("overwrite").partitionBy(*parts)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
@@ -65,7 +69,3 @@ def write_statistics(sheets: dict[str, DataFrame], folder: str, fmt: str = "parq
         write_by_site(df, f"{folder.rstrip('/')}/{name}", fmt=fmt) for name, df in sheets.items()
     ]
 
-
-def read_back(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +15,8 @@ from meterqa.schema import require_columns
 
 Keys = Sequence[str] | DataFrame
 
-# Longer lists go to a join instead of a literal list in the plan.
-MAX_LITERAL_KEYS = 1000
+# A hot key's rows meet a table of keys in so many parts.
+KEY_PARTS = 32
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -24,22 +24,36 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def for_keys(df: DataFrame, column: str, keys: Keys | None) -> DataFrame:
+def for_keys(df: DataFrame, column: str, keys: Keys | None, spread: str | None = None) -> DataFrame:
     """Rows whose ``column`` is among the keys; ``None`` keeps all.
 
-    A short list becomes a pushed-down IN filter. A DataFrame (its first
-    column) or a long list becomes a left-semi join, where Spark decides from
-    the measured size whether to broadcast.
+    A list becomes a pushed-down IN filter. A DataFrame (its first column)
+    becomes a left-semi join, where Spark decides from the measured size
+    whether to broadcast. Where one key may hold a large part of the rows,
+    ``spread`` names a column by whose hash they are dealt to several parts.
     """
     if keys is None:
         return df
     if not isinstance(keys, DataFrame):
-        if len(keys) <= MAX_LITERAL_KEYS:
-            return df.filter(F.col(column).isin(list(keys)))
-        key_schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
-        keys = df.sparkSession.createDataFrame([(k,) for k in keys], key_schema)
+        return df.filter(F.col(column).isin(list(keys)))
     wanted = keys.select(F.col(keys.columns[0]).alias(column))
-    return df.join(wanted, column, "left_semi")
+    if spread is None:
+        return df.join(wanted, column, "left_semi")
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(KEY_PARTS - 1).cast("bigint")))
+    everywhere = wanted.distinct().withColumn("_part", parts)
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(KEY_PARTS)))
+    return dealt.join(everywhere, [column, "_part"], "left_semi").drop("_part").select(*df.columns)
+
+
+def as_number(df: DataFrame, column: str) -> Column:
+    """A value column as numbers: text is parsed, and what is no number, or NaN, is missing."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        value = F.col(column).try_cast("double")
+    else:
+        value = F.col(column)
+        if not isinstance(df.schema[column].dataType, T.FractionalType):
+            return value
+    return F.when(~F.isnan(value), value).alias(column)
 
 
 def observations_range(
@@ -54,10 +68,11 @@ def observations_range(
 
     The range runs from the first midnight to the last midnight, both included,
     so of the last day only a reading at 00:00 counts. With ``whole_days`` all
-    of the last day counts.
+    of the last day counts. A value that is NaN, or text that is no number,
+    is null.
     """
     require_columns(observations, "site", "measurement", "date_time", "value")
-    rows = observations
+    rows = observations.withColumn("value", as_number(observations, "value"))
     if measurements is not None:
         rows = rows.filter(F.col("measurement").isin(list(measurements)))
     if from_date is not None:
@@ -68,7 +83,7 @@ def observations_range(
             rows = rows.filter(F.col("date_time") < end)
         else:
             rows = rows.filter(F.col("date_time") <= midnight_like(rows, "date_time", to_date))
-    return for_keys(rows, "site", sites)
+    return for_keys(rows, "site", sites, spread="date_time")
 
 
 def measurement_catalog(observations: DataFrame) -> DataFrame:

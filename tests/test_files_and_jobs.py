@@ -2,10 +2,13 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterqa import jobs, schema
+from meterqa.functions.names import is_composite
 from meterqa.sources import files, tables
 from tests.conftest import rows, ts
+from tests.tables import CONSENTS, EXT_SITES, read_back
 
 
 def test_site_list_file(spark, tmp_path):
@@ -18,6 +21,30 @@ def test_site_list_file(spark, tmp_path):
     ]
 
 
+def test_site_list_keeps_whole_lines(spark, tmp_path):
+    path = tmp_path / "sites.csv"
+    path.write_text('BU24/0011-M1,BU24/0012-M1\n"BU24/0013-M1,BU24/0014-M1"\n "BU24/0015-M1" \n')
+    found = files.read_site_list(spark, str(path))
+    assert rows(found, "site") == [
+        ("BU24/0011-M1,BU24/0012-M1",),
+        ("BU24/0013-M1,BU24/0014-M1",),
+        ("BU24/0015-M1",),
+    ]
+    assert found.filter(~is_composite(F.col("site"))).count() == 1
+
+
+def test_tables_of_a_site_are_in_order(spark, tmp_path):
+    days = spark.range(400).select(
+        F.lit("BU24/0001-M1").alias("site"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 37 % 100).cast("int")).alias("date"),
+        (F.col("id") % 24).cast("int").alias("hour"),
+    )
+    files.write_by_site(days.repartition(5), str(tmp_path / "t"))
+    paths = [str(p) for p in (tmp_path / "t").rglob("*.parquet")]
+    found = [[(r.date, r.hour) for r in read_back(spark, p).collect()] for p in paths]
+    assert sum(map(len, found)) == 400 and all(x == sorted(x) for x in found)
+
+
 def test_key_file(spark, tmp_path):
     path = tmp_path / "consents.csv"
     path.write_text("RecordNumber,Note\nCRC1,x\n ,\nWTK69B,y\n")
@@ -42,7 +69,7 @@ def test_tables_by_site(spark, tmp_path):
     )
     path = files.write_by_site(table, str(tmp_path / "t"), by_measurement=True)
     assert sorted(d for d in os.listdir(path) if "=" in d) == ["site_file=A-1-M1", "site_file=B-2-M1"]
-    back = files.read_back(spark, path).select(*table.columns)
+    back = read_back(spark, path).select(*table.columns)
     assert rows(back, "site") == rows(table, "site")
 
 
@@ -68,12 +95,12 @@ def stored(spark, observations, tmp_path_factory):
                 1.0, 600.0, 7, None, "stock", None, "Issued - Active", None,
             )
         ],
-        schema.CONSENTS,
+        CONSENTS,
     ).write.parquet(f"{folder}/consents")
     spark.createDataFrame(
         [("S", "Volume", None, None, "tel", 5.0, start)], schema.WAREHOUSE
     ).write.parquet(f"{folder}/wh")
-    spark.createDataFrame([("BU24/0001", 1.0, 2.0, "North")], schema.EXT_SITES).write.parquet(
+    spark.createDataFrame([("BU24/0001", 1.0, 2.0, "North")], EXT_SITES).write.parquet(
         f"{folder}/ext"
     )
     (folder / "sites.csv").write_text("BU24/0001-M1\nBU24/0009-M1\n")
@@ -122,9 +149,9 @@ def test_time_series_job(spark, stored, tmp_path):
     assert sorted(os.listdir(f"{out}/statistics")) == [
         "measurements", "monthly_statistics", "negatives_removed",
     ]
-    monthly = files.read_back(spark, f"{out}/statistics/monthly_statistics")
+    monthly = read_back(spark, f"{out}/statistics/monthly_statistics")
     assert rows(monthly.select("days_with_data", "total_reports")) == [(10, 240)]
-    series = files.read_back(spark, f"{out}/series")
+    series = read_back(spark, f"{out}/series")
     assert series.filter("ma is not null").count() == 4
     assert series.first().ref_line == 85.7
 
@@ -140,10 +167,10 @@ def test_statistics_only_and_unknown_site(stored, tmp_path):
 def test_plot_jobs(spark, stored, tmp_path):
     obs = ("--observations", f"{stored}/obs")
     out = run(stored, tmp_path / "p", "recent-plots", *obs, "--as-of", "2024-01-20")
-    assert files.read_back(spark, f"{out}/daily").count() == 2 * 366
-    assert files.read_back(spark, f"{out}/hourly").count() == 2 * (12 + 19 * 24 + 1)
+    assert read_back(spark, f"{out}/daily").count() == 2 * 366
+    assert read_back(spark, f"{out}/hourly").count() == 2 * (12 + 19 * 24 + 1)
     out = run(stored, tmp_path / "m", "month-plots", *obs, "--start", "2024-01-18")
-    assert files.read_back(spark, out).count() == 2 * (3 * 24 + 33 - 1)
+    assert read_back(spark, out).count() == 2 * (3 * 24 + 33 - 1)
 
 
 def test_meter_list_job(spark, stored, tmp_path):

@@ -3,12 +3,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from meterqa import schema
 from meterqa.operators import consents as con
 from meterqa.operators import meters, volumes
 from meterqa.plans import reports
 from meterqa.sources import tables
 from tests.conftest import rows
+from tests.tables import CONSENTS, EXT_SITES
 
 ACTIVE, OLD = "Issued - Active", "Issued - Inactive"
 
@@ -33,7 +33,7 @@ def permits(spark):
             row("CRC9", "M32/0004", "1/01/2001 0:00", "12/01/2001 0:00", 4.0, 7.0, None, "stock", ACTIVE),
             row("CR10", "M32/0005", "1/01/2001 0:00", "until revoked", 4.0, 7.0, None, "stock", OLD),
         ],
-        schema.CONSENTS,
+        CONSENTS,
     )
 
 
@@ -85,7 +85,7 @@ def test_meter_lists(spark, permits):
     ]
     ext = spark.createDataFrame(
         [("BU24/0001", 1.0, 2.0, "North"), ("N32/0002", 1.0, 2.0, "South"), ("gauge", 1.0, 2.0, "South")],
-        schema.EXT_SITES,
+        EXT_SITES,
     )
     table = reports.meters_from_catchment(permits, archive, ext, {"swaz_name": ["South"]})
     assert rows(table.select("site_name", "record_number")) == [("N32/0002-M1", "CRC4")]
@@ -95,7 +95,7 @@ def test_meter_lists(spark, permits):
 
 def test_external_sites(spark):
     ext = spark.createDataFrame(
-        [("BU24/0001", 1.0, 2.0, "North"), ("gauge", 1.0, 2.0, "North")], schema.EXT_SITES
+        [("BU24/0001", 1.0, 2.0, "North"), ("gauge", 1.0, 2.0, "North")], EXT_SITES
     )
     assert tables.external_sites(ext).columns == ["ext_site_id", "nztmx", "nztmy"]
     got = tables.external_sites(ext, {"swaz_name": ["North"], "nztmx": [1.0]})
@@ -105,8 +105,9 @@ def test_external_sites(spark):
         tables.external_sites(ext, ["swaz_name"])
 
 
-def test_long_key_lists_become_joins(permits):
-    keys = [f"X{i}" for i in range(tables.MAX_LITERAL_KEYS)] + ["CRC1"]
+def test_key_lists_are_filters_whatever_their_length(permits):
+    keys = [f"X{i}" for i in range(1500)] + ["CRC1"]
+    assert "Join" not in tables.for_keys(permits, "record_number", keys)._jdf.queryExecution().executedPlan().toString()
     assert numbers(tables.for_keys(permits, "record_number", keys)) == ["CRC1"]
     assert numbers(tables.for_keys(permits, "record_number", ["CRC1"])) == ["CRC1"]
     assert tables.for_keys(permits, "record_number", None) is permits
@@ -128,3 +129,15 @@ def test_daily_series_with_limits(observations, permits):
     assert [r.over_max_rate for r in a] == [100.0 * i / 86.4 > 15.5 for i in range(20)]
     z = table.filter("site = 'Z99/0009-M1'").first()
     assert (z.ma, z.max_vol, z.ref_line, z.over_max_vol) == (None, None, None, False)
+
+
+@pytest.mark.parametrize("text", ["2019-07-01", "2019-07-01 00:00:00", "1/07/2019 0:00", "2019-07-01T00:00", " 1/07/2019"])
+def test_permit_dates_in_several_forms(spark, text):
+    table = spark.createDataFrame([(text, "until further notice")], "from_date string, to_date string")
+    got = con.with_dates(table).first()
+    assert got.from_date == dt.datetime(2019, 7, 1) and got.to_date is None
+
+
+def test_nan_limits_do_not_count(permits):
+    spoilt = permits.withColumn("consented_rate", F.lit(float("nan")))
+    assert {r.max_rate for r in con.site_limits(con.with_dates(spoilt)).collect()} == {0.0}

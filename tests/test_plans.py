@@ -92,8 +92,8 @@ def test_hot_site_is_split_by_day(no_broadcast, stored):
     plan = final_plan(reports.quality_combined(obs, cat, requested))
     for line in plan.splitlines():
         if "Window [lag(value" in line:
-            assert re.search(r"windowspecdefinition\(site#\d+, measurement#\d+, date#\d+", line)
-    assert re.search(r"hashpartitioning\(site#\d+, measurement#\d+, date#\d+, \d+\), REPARTITION_BY_COL", plan)
+            assert re.search(r"windowspecdefinition\(_bucket#\d+", line)
+    assert re.search(r"hashpartitioning\(_bucket#\d+, \d+\), REPARTITION_BY_COL", plan)
 
 
 def test_modes_read_the_archive_once(spark):

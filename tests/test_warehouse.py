@@ -59,3 +59,27 @@ def test_physical_rule(readings):
         ("Flow", None),
         ("Flow", 1.8),
     ]
+
+
+def test_null_source_and_attribute_are_series_too(spark):
+    at = [dt.datetime(2024, 1, 1, h) for h in range(4)]
+    table = spark.createDataFrame(
+        [
+            ("A", "Volume", None, 1.0, at[0]),
+            ("A", "Volume", None, 2.0, at[1]),
+            ("A", "Volume", "S1", 4.0, at[2]),
+            ("A", None, "S1", 8.0, at[3]),
+        ],
+        "site_id string, attribute_name string, data_source string, observation_value double, observation_date_time timestamp_ntz",
+    )
+    got = reports.warehouse_daily(table).collect()
+    assert {(r.data_source, r.daily_measured_value, r.duplicate_days) for r in got} == {(None, 3.0, 2), ("S1", 12.0, 2)}
+
+
+def test_nan_values_are_missing(spark):
+    at = [dt.datetime(2024, 1, 1, h) for h in range(3)]
+    table = spark.createDataFrame(
+        [("A", "Volume", "S1", v, t) for v, t in zip((1.0, float("nan"), 2.0), at, strict=True)],
+        "site_id string, attribute_name string, data_source string, observation_value double, observation_date_time timestamp_ntz",
+    )
+    assert [r.daily_measured_value for r in reports.warehouse_daily(table).collect()] == [3.0]
