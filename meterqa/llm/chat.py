@@ -1,7 +1,7 @@
 """Chat logs: collapse cumulative snapshots, then render the conversations that are left.
 
 A chat service logs a conversation after every turn, so most logs are prefixes of later ones. Every turn is hashed with its
-place; the running XOR of these hashes names the prefix that ends there. A conversation whose whole hash is a proper
+place in the conversation; the running XOR of these hashes names the prefix that ends there. A conversation whose whole hash is a proper
 prefix of another is dropped by an anti-join, and of equal conversations the smallest id stays.
 """
 
@@ -33,33 +33,45 @@ def prefix_hashes(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv", "span", "turn", F.xxhash64("role", "text").alias("x"), F.xxhash64("text", "role", F.lit(7)).alias("y")
     )
     inside = W.partitionBy("conv", "span").orderBy("turn", "x", "y")
-    placed = hashed.withColumn("at", F.row_number().over(inside))
-    keyed = placed.select(
+    counts = hashed.groupBy("conv", "span").agg(F.count("*").alias("n"))
+    earlier = W.partitionBy("conv").orderBy("span").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(
+        "conv",
+        "span",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
+        F.sum("n").over(W.partitionBy("conv")).alias("total"),
+    )
+    # The place in the whole conversation, whatever the numbering.
+    placed = hashed.withColumn("row", F.row_number().over(inside)).join(starts, ["conv", "span"])
+    keyed = placed.withColumn("at", F.col("n0") + F.col("row")).select(
         "conv",
         "span",
         "at",
-        F.xxhash64("x", "span", "at", F.lit(1)).alias("a"),
-        F.xxhash64("y", "span", "at", F.lit(2)).alias("b"),
+        "total",
+        F.xxhash64("x", "at", F.lit(1)).alias("a"),
+        F.xxhash64("y", "at", F.lit(2)).alias("b"),
     )
     spans = keyed.groupBy("conv", "span").agg(F.count("*").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
-    earlier = W.partitionBy("conv").orderBy("span").rowsBetween(W.unboundedPreceding, -1)
     carried = spans.select(
         "conv",
         "span",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
         F.coalesce(F.bit_xor("a").over(earlier), F.lit(0)).alias("a0"),
         F.coalesce(F.bit_xor("b").over(earlier), F.lit(0)).alias("b0"),
-        F.sum("n").over(W.partitionBy("conv")).alias("total"),
     )
     running = W.partitionBy("conv", "span").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
     prefixes = (
         keyed.select(
-            "conv", "span", "at", F.bit_xor("a").over(running).alias("a"), F.bit_xor("b").over(running).alias("b")
+            "conv",
+            "span",
+            "at",
+            "total",
+            F.bit_xor("a").over(running).alias("a"),
+            F.bit_xor("b").over(running).alias("b"),
         )
+        .filter(F.col("at") < F.col("total"))
         .join(carried, ["conv", "span"])
-        .filter(F.col("n0") + F.col("at") < F.col("total"))
         .select(
-            (F.col("n0") + F.col("at")).alias("n"),
+            F.col("at").alias("n"),
             F.col("a").bitwiseXOR(F.col("a0")).alias("a"),
             F.col("b").bitwiseXOR(F.col("b0")).alias("b"),
         )

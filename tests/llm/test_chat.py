@@ -40,6 +40,20 @@ def test_snapshots_against_brute_force(spark):
     assert cases.tuples(got, "conv_id", "n_turns", "n_copies", "chat") == brute(chats)
 
 
+def test_place_and_not_number_decides(spark):
+    """Shifted numbers, gaps of a span or more, and a null number are the same places in a conversation."""
+    roles = ("user", "assistant")
+    turns = [(roles[i % 2], f"turn {i}") for i in range(601)]
+    numbered = lambda first, step, n: [(first + step * i, *turns[i]) for i in range(n)]
+    chats = [
+        (1, numbered(0, 1, 600)), (2, numbered(1, 1, 601)),
+        (3, [(0, "user", "gap"), (5000, "assistant", "b")]), (4, [(7, "user", "gap"), (8, "assistant", "b")]),
+        (5, [(None, "user", "null")]), (6, [(3, "user", "null"), (4, "assistant", "c")]),
+    ]
+    got = chat.rendered(table(spark, chats)).select("conv_id", "n_turns", "n_copies").collect()
+    assert sorted(tuple(r) for r in got) == [(2, 601, 1), (3, 2, 2), (6, 2, 1)]
+
+
 def test_empty(spark):
     assert chat.rendered(table(spark, [])).count() == 0
 
