@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from meterqa.llm.exact_dedup import possibly_entered
 from meterqa.llm.graph import components
 from meterqa.llm.shingles import shingle_sets
 
-#: Percent of the union that the intersection of linked sets makes up.
+#: Percent of the union that the intersection of linked sets makes up, where the caller asks for nothing else.
 LEAST = 85
 #: A pair goes on to confirmation unless this log-likelihood is lost by taking it for similar: odds of about a million to one.
 SLACK = 14.0
@@ -34,7 +35,7 @@ SLACK = 14.0
 SALTS = 32
 #: Rows of a bucket that are compared at once across components.
 BLOCK = 1024
-#: Equal registers that any pair of the likelihood test has; a quick test before it.
+#: Equal registers that any pair of the likelihood test has, at most; a quick test before it (``_least_equal``).
 EQUAL = 64
 #: Columns of an incidence matrix at once.
 COLUMNS = 4096
@@ -88,12 +89,18 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(raw, "<u2").reshape(len(column), setsketch.M)
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _least_equal(least: int) -> int:
+    """Equal registers that sets of ``least`` percent have, but for 8.5 standard deviations: registers differ with at most their rest."""
+    share = least / 100
+    return max(0, min(EQUAL, int(setsketch.M * share - 8.5 * (setsketch.M * share * (1 - share)) ** 0.5)))
+
+
+def _likely(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not len(batch):
             continue
         n, m = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
-        _, lost = setsketch.joint_likelihood(_unpacked(batch.column(4)), _unpacked(batch.column(5)), n, m, LEAST / 100)
+        _, lost = setsketch.joint_likelihood(_unpacked(batch.column(4)), _unpacked(batch.column(5)), n, m, least / 100)
         yield batch.select([0, 1]).filter(pa.array(lost <= SLACK))
 
 
@@ -125,13 +132,13 @@ def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return total
 
 
-def _block_links(rows: list[tuple]) -> pa.RecordBatch | None:
+def _block_links(rows: list[tuple], least: int) -> pa.RecordBatch | None:
     """Links between classes of different components in one bucket, or between two blocks of it."""
     node, root, band = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
     size = np.array([r[3] for r in rows], float)
     side = np.array([r[4] for r in rows])
     could = np.triu(root[:, None] != root, 1)
-    could &= LEAST * np.maximum(size[:, None], size) <= 100 * np.minimum(size[:, None], size)
+    could &= least * np.maximum(size[:, None], size) <= 100 * np.minimum(size[:, None], size)
     if side.any():
         could &= side[:, None] != side
     i, j = np.nonzero(could)
@@ -144,20 +151,20 @@ def _block_links(rows: list[tuple]) -> pa.RecordBatch | None:
         same = sketch[a] == sketch[b]
         bands = same[:, : setsketch.BANDS * setsketch.ROWS].reshape(len(a), setsketch.BANDS, -1).all(axis=2)
         # A pair belongs to the first band that it shares.
-        own = np.flatnonzero((bands.argmax(axis=1) == band[a]) & (same.sum(axis=1) >= EQUAL))
-        _, lost = setsketch.joint_likelihood(sketch[a[own]], sketch[b[own]], size[a[own]], size[b[own]], LEAST / 100)
+        own = np.flatnonzero((bands.argmax(axis=1) == band[a]) & (same.sum(axis=1) >= _least_equal(least)))
+        _, lost = setsketch.joint_likelihood(sketch[a[own]], sketch[b[own]], size[a[own]], size[b[own]], least / 100)
         kept.append(at + own[lost <= SLACK])
     some = np.concatenate(kept)
     if not len(some):
         return None
     i, j = i[some], j[some]
     common = _common([np.frombuffer(r[6], np.uint64) for r in rows], i, j)
-    linked = 100 * common >= LEAST * (size[i] + size[j] - common)
+    linked = 100 * common >= least * (size[i] + size[j] - common)
     i, j = node[i[linked]], node[j[linked]]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket; one bucket, or one pair of its blocks, is held at a time.
 
     A row's ``side`` tells which block of the pair it is in; with one block, its rows meet each other.
@@ -166,15 +173,15 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if bucket != held:
-                if len(rows) > 1 and (links := _block_links(rows)):
+                if len(rows) > 1 and (links := _block_links(rows, least)):
                     yield links
                 held, rows = bucket, []
             rows.append(row)
-    if len(rows) > 1 and (links := _block_links(rows)):
+    if len(rows) > 1 and (links := _block_links(rows, least)):
         yield links
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirmed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by centre and part, the centre's own text first; members with enough in common are linked."""
     centre, own = None, np.empty(0, np.uint64)
     for batch in batches:
@@ -191,7 +198,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if centre != (a[row], part[row]):
                     raise ValueError("a member came before its centre")
                 common = len(np.intersect1d(own, set_, assume_unique=True))
-                if 100 * common >= LEAST * (len(own) + len(set_) - common):
+                if 100 * common >= least * (len(own) + len(set_) - common):
                     links.append((a[row], b[row]))
             if links:
                 yield pa.RecordBatch.from_arrays(
@@ -225,7 +232,7 @@ def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return wanted.join(some, ["s", "t"]).select("node", "text")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """Links (a, b) among ``pairs`` whose full sets are similar enough. ``pairs`` are shuffled with the texts of b, once each."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
     texts = written(_texts(nodes, classes, docs))
@@ -234,16 +241,16 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     centres = parted.select("a", "part").distinct().join(texts.withColumnRenamed("node", "a"), "a")
     centres = centres.select("a", "part", F.lit(None).cast("long").alias("b"), "text")
     dealt = members.unionByName(centres).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
-    return written(dealt.mapInArrow(_confirmed, "a long, b long"))
+    return written(dealt.mapInArrow(partial(_confirmed, least=least), "a long, b long"))
 
 
-def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def links_of(classes: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(node, root) of all classes with a link."""
     rows = _buckets(classes)
     centres = rows.groupBy("key").agg(
         F.max_by(F.struct("node", "n"), F.struct("popular", -F.col("node"))).alias("centre")
     )
-    sized = 100 * F.least("n", "m") >= LEAST * F.greatest("n", "m")
+    sized = 100 * F.least("n", "m") >= least * F.greatest("n", "m")
     pairs = (
         rows.join(centres, "key")
         .select(F.col("centre.node").alias("a"), F.col("node").alias("b"), F.col("centre.n").alias("n"), F.col("n").alias("m"))
@@ -252,8 +259,8 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
     )
     sketches = classes.select("node", "sketch")
     beside = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-    likely = written(beside.select("a", "b", "n", "m", "sketch_a", "sketch_b").mapInArrow(_likely, "a long, b long"))
-    links = _confirm(likely, classes, docs)
+    likely = written(beside.select("a", "b", "n", "m", "sketch_a", "sketch_b").mapInArrow(partial(_likely, least=least), "a long, b long"))
+    links = _confirm(likely, classes, docs, least)
     roots = components(links)
     # What is left: buckets with several components.
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -275,17 +282,17 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame:
     sets = _texts(left.select("node"), classes, docs).mapInArrow(_set_bytes, "node long, set binary")
     met = spread.join(classes.select("node", "sketch").join(sets, "node"), "node")
     dealt = met.select("bucket", "node", "root", "band", "n", "side", "sketch", "set").repartition("bucket")
-    more = written(dealt.sortWithinPartitions("bucket").mapInArrow(_across, "a long, b long").distinct())
+    more = written(dealt.sortWithinPartitions("bucket").mapInArrow(partial(_across, least=least), "a long, b long").distinct())
     if not more.limit(1).count():
         return roots
     return components(links.union(more))
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
+def _grouped(docs: DataFrame, least: int) -> DataFrame:
     """(id, row, s, t, n, component, first): rows with their component's smallest id and the row that stays for it."""
     rows = sketched(docs)
     classes = written(classes_of(rows))
-    roots = links_of(classes, docs)
+    roots = links_of(classes, docs, least)
     sets = rows.filter("n > 0").groupBy("n", "f", "g")
     best = F.min(F.struct(F.isnull("id").alias("no_id"), "id", "row")).alias("best")
     joined = sets.agg(F.min("row").alias("node"), best).join(roots, "node", "left")
@@ -296,14 +303,14 @@ def _grouped(docs: DataFrame) -> DataFrame:
     return rows.join(found, ["n", "f", "g"], "left").select("id", "row", "s", "t", "n", F.coalesce("first", own).alias("first"))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept.
+def near_groups(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept; sets with ``least`` percent in common are linked.
 
     A null or blank text has an empty set and is linked with nothing. A null id comes after all others; a component
     without any id has a null one. Rows that repeat an id are documents of their own and all kept or all dropped with it.
     An empty table gives an empty result; other columns are not read.
     """
-    return _grouped(docs.select("doc_id", "text")).select(
+    return _grouped(docs.select("doc_id", "text"), least).select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.col("first.id").alias("component_id"),
@@ -311,12 +318,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One document of each component, in its own columns: the one with the smallest id, and of repeated rows any one.
 
     Only rows that the filter holds for dropped or repeated are shuffled.
     """
-    rows = _grouped(docs.select("doc_id", "text"))
+    rows = _grouped(docs.select("doc_id", "text"), least)
     id_ = F.struct("id")
     seen = rows.groupBy(id_.alias("id"), "s", "t").agg(
         F.max(F.col("first.row") == F.col("row")).alias("stays"), F.count("*").alias("times")

@@ -28,7 +28,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), 85)
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import cases
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -131,3 +132,21 @@ def test_components_of_chains_and_stars(spark):
 def test_empty(spark):
     assert near_dedup.near_groups(cases.empty_table(spark)).count() == 0
     assert near_dedup.one_of_each(cases.empty_table(spark)).count() == 0
+
+
+def test_threshold_is_the_callers(spark):
+    """Pairs of similarity 0.80 to 0.85 are linked at 80, as the pipeline asks, and not at 85, as op5 does."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(0, 40, 2):
+        words = cases.prose(rng, 54, vocabulary=4000).split()
+        other = list(words)
+        other[20] = f"changed{i}"
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+    for (_, x), (_, y) in zip(rows[::2], rows[1::2], strict=True):
+        a, b = shingles(x), shingles(y)
+        assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_dedup.near_groups(docs).filter("kept").count() == 40
+    assert cases.tuples(near_dedup.near_groups(docs, 80).filter("kept"), "doc_id") == [(i,) for i in range(0, 40, 2)]
+    assert cases.tuples(corpus_pipeline.near(spark, docs, ""), "doc_id") == [(i,) for i in range(0, 40, 2)]
