@@ -5,8 +5,9 @@ known context costs its share of that context; otherwise it costs the context's
 the next shorter one, down to all 256 bytes alike. Counts are frozen after training, so the code length of a text is a sum
 over its bytes, and the language with the shortest code wins.
 
-Training fits on a sample of the labelled documents, drawn by hash, whose expected size over all languages is ``SAMPLE_BYTES``;
-this bounds the trees that the tasks get. Scoring covers every byte of every document.
+Training fits on a sample of the labelled documents: windows of ``WINDOW`` bytes, taken in hash order up to each language's share
+of ``SAMPLE_BYTES``, but at least one, so that no label is left out; a language below its share is taken whole. This bounds the
+trees that the tasks get. Scoring covers every byte of every document.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from meterqa.llm.lookup import HashIndex
 
 DEPTH = 3
 SAMPLE_BYTES = 16 << 20
+#: Bytes of a text that the sample takes or leaves together.
+WINDOW = 4096
 #: Stands before every text, so that each byte has a whole context.
 LEAD = 10
 PIECE = 1 << 18
@@ -55,14 +58,17 @@ def _grams(whole: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams of windows that begin with the ``DEPTH`` bytes before them."""
     for batch in batches:
         langs = batch.column(0).to_pylist()
         grams: dict[str, list[np.ndarray]] = {}
         for first, after, offsets, data in text_runs(batch.column(1)):
-            whole, own = _led(offsets, data)
-            all_grams = _grams(whole, own)
+            own = np.ones(len(data), bool)
+            own[(offsets[:-1, None] + np.arange(DEPTH)).ravel()] = False
+            all_grams = _grams(data, np.flatnonzero(own))
+            edges = offsets - DEPTH * np.arange(len(offsets))
             for row in range(first, after):
-                part = all_grams[offsets[row - first] : offsets[row - first + 1]]
+                part = all_grams[edges[row - first] : edges[row - first + 1]]
                 grams.setdefault(langs[row], []).append(part)
         for lang, parts in grams.items():
             found, times = np.unique(np.concatenate(parts), return_counts=True)
@@ -78,17 +84,52 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def training_counts(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """(lang, gram, n): how often each byte follows each ``DEPTH`` bytes, in the sampled training documents."""
-    train = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = train.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+def _rank(number: Column, window: Column) -> Column:
+    """A window's place in the hash order."""
+    return F.xxhash64(number, window, F.lit(11))
+
+
+def _sampled(docs: DataFrame, sample_bytes: int) -> DataFrame:
+    """(lang, window): the training windows, each after the ``DEPTH`` bytes before it."""
+    train = docs.filter(F.col("lang").isNotNull() & (F.octet_length("text") > 0) & ~held_out(F.col("doc_id")))
+    numbered = train.withColumn("_number", F.xxhash64("doc_id", "text")).withColumn(
+        "_at", F.sequence(F.lit(0), F.floor((F.octet_length("text") - 1) / WINDOW).cast("int"))
+    )
+    size = F.least(F.lit(WINDOW), F.col("_bytes") - F.col("_window") * WINDOW).cast("long")
+    windows = (
+        numbered.select("lang", "_number", F.octet_length("text").alias("_bytes"), F.explode("_at").alias("_window"))
+        .select("lang", size.alias("_size"), _rank(F.col("_number"), F.col("_window")).alias("_rank"))
+    )
+    sizes = windows.groupBy("lang").agg(F.sum("_size").alias("_total"), F.min("_rank").alias("_first"))
     langs = F.greatest(F.sum(F.lit(1)).over(W.partitionBy()), F.lit(1))
-    shares = sizes.select(F.col("lang").alias("_of"), (sample_bytes / langs / F.greatest("bytes", F.lit(1))).alias("_share"))
-    unit = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(11)), 11) * F.lit(2.0**-53)
+    quota = F.lit(sample_bytes) / langs
+    # Far more than the quota where there is more; what a window over one language sees is bounded by it.
+    share = (2 * quota + 64 * WINDOW) / F.col("_total")
+    edge = F.when(share < 1, F.greatest("_first", (share * 2.0**64 - 2.0**63).cast("long"))).otherwise(F.lit(2**63 - 1))
+    some = sizes.select(F.col("lang").alias("_of"), edge.alias("_edge"), quota.alias("_quota"))
     # One row per language.
-    sampled = train.join(F.broadcast(shares), F.col("lang") == F.col("_of")).filter(unit < F.col("_share"))
+    near = windows.join(F.broadcast(some), (F.col("lang") == F.col("_of")) & (F.col("_rank") <= F.col("_edge")))
+    # Windows of one rank are copies: they count together, and add nothing to the trees.
+    ranked = near.groupBy("lang", "_rank", "_quota").agg(F.min("_size").alias("_size"))
+    order = W.partitionBy("lang").orderBy("_rank")
+    taken = ranked.select(
+        "lang", "_rank", "_quota", F.sum("_size").over(order).alias("_sum"), F.rank().over(order).alias("_nth")
+    ).filter((F.col("_sum") <= F.col("_quota")) | (F.col("_nth") == 1))
+    last = taken.groupBy(F.col("lang").alias("_of")).agg(F.max("_rank").alias("_last"))
+    met = numbered.join(F.broadcast(last), F.col("lang") == F.col("_of"))
+    kept = F.filter("_at", lambda i: _rank(F.col("_number"), i) <= F.col("_last"))
+    lead = F.lit(bytes([LEAD] * DEPTH))
+    cut = F.transform(
+        F.array(F.concat(lead, F.col("text").cast("binary"))),
+        lambda whole: F.transform("_kept", lambda i: F.substring(whole, i * WINDOW + 1, F.lit(WINDOW + DEPTH))),
+    )[0]
+    return met.withColumn("_kept", kept).filter(F.size("_kept") > 0).select("lang", F.explode(cut).alias("window"))
+
+
+def training_counts(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(lang, gram, n): how often each byte follows each ``DEPTH`` bytes, in the sampled windows of the training documents."""
     ship_code(docs.sparkSession)
-    counted = sampled.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long")
+    counted = _sampled(docs, sample_bytes).mapInArrow(_counted, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

@@ -91,3 +91,26 @@ def test_empty_and_unlabelled(spark):
     assert language_id.predicted(cases.empty_table(spark)).count() == 0
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in language_id.predicted(docs).collect()] == [("und", 0.0)]
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    """Labels whose documents are far larger than their share of the sample, beside one with short documents."""
+    monkeypatch.setattr(language_id, "WINDOW", 64)
+    rows = [(100 * k + i, f"{chr(97 + k)}{chr(98 + k)} " * 3000, f"l{k}") for k in range(12) for i in range(3)]
+    rows += [(5000 + i, f"short {i} texts", "small") for i in range(200)] + [(6000, "short long texts " * 4000, "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = {r[2] for r in rows if fold(r[0])}
+    assert len(labels) == 13
+    for sample in (13 * 64, 20_000):
+        counts = language_id.training_counts(docs, sample).groupBy("lang").sum("n").collect()
+        total = {r["lang"]: r["sum(n)"] for r in counts}
+        assert set(total) == labels
+        assert all(0 < n <= max(64, sample / 13) for n in total.values())
+    assert min(total.values()) > 0.5 * sample / 13
+
+
+def test_windows_cover_whole_texts(spark, monkeypatch):
+    docs = cases.odd_table(spark)
+    whole = cases.tuples(language_id.training_counts(docs), "lang", "gram", "n")
+    monkeypatch.setattr(language_id, "WINDOW", 7)
+    assert cases.tuples(language_id.training_counts(docs), "lang", "gram", "n") == whole
