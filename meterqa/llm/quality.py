@@ -26,12 +26,13 @@ CORE = 0.75
 STEPS = 3
 VECTOR = ("_x0", "_x1", "_x2", "_x3", "_x4")
 D = len(VECTOR)
-#: Standard deviation of each statistic that is harmless in any group; keeps estimates regular where most documents agree.
-FLOORS = (0.5, 0.05, 0.05, 0.2, 0.2)
+#: Standard deviation added to each statistic's own; keeps estimates regular where most documents agree. Far enough below
+#: 1 / sqrt(CUT) that each of the two share statistics can reject a document alone.
+FLOORS = (0.1, 0.05, 0.05, 0.1, 0.1)
 # Chi-squared quantiles with five degrees of freedom.
-CHI2_HALF, CHI2_975 = 4.3515, 12.8325
+CHI2_HALF, CHI2_975, CHI2_9999 = 4.3515, 12.8325, 25.7448
 #: Squared distance from which a document is rejected.
-CUT = 40.0
+CUT = CHI2_9999
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:

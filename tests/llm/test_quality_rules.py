@@ -103,6 +103,29 @@ def test_verdicts_against_matrices(spark):
     assert junk and all(not got[i]["kept"] for i in junk)
 
 
+def test_duplicate_lines_and_repeats_alone_reject(spark):
+    """Documents that pass the base rules and differ from a clean group in lines that recur, or in repeated words, or in both."""
+    import random
+
+    rng = random.Random(5)
+    prose = lambda n: cases.prose(rng, n, vocabulary=3000).split()
+    lines = lambda words: "\n".join(" ".join(words[i : i + 10]) for i in range(0, len(words), 10))
+    rows = [(i, lines(prose(rng.randint(70, 130)))) for i in range(300)]
+    rows += [(1000 + i, lines(prose(60)) + "\nrr" * 40) for i in range(3)]
+    for i in range(3):
+        words = prose(100)
+        rows.append((2000 + i, lines(words[:54] + words[:23] + words[54:77])))
+    for i in range(3):
+        words = prose(100)
+        # Each short line recurs between words that do not.
+        rows.append((3000 + i, "\n".join(x for w in words for x in (w, "k3"))))
+    docs = spark.createDataFrame([(*r, "en", "a") for r in rows], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.quality_verdicts(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [i for i, r in got.items() if i >= 1000 and r["kept"]] == []
+    assert sum(r["kept"] for i, r in got.items() if i < 1000) >= 297
+
+
 def test_odd_rows(spark):
     docs = cases.odd_table(spark)
     got = quality.quality_verdicts(docs)
