@@ -14,6 +14,7 @@ from meterqa.schema import SPIKE_MULTIPLES, WATER_METER
 from meterqa.sources.tables import as_number
 
 SERIES = ["site", "measurement"]
+SPIKE_RULES = {"sum": "mean + sd * {k}", "product": "mean * sd * {k}"}
 
 
 def register_to_volume(
@@ -90,22 +91,23 @@ def spike_params(volumes: DataFrame, keys: Sequence[str] = ("site",)) -> DataFra
     )
 
 
+def limit_rule(rule: str = "sum") -> str:
+    """The limit of ``k`` deviations; ``rule='product'`` is the older mean * sd * k."""
+    if rule not in SPIKE_RULES:
+        raise ValueError(f"unknown rule {rule!r}")
+    return SPIKE_RULES[rule]
+
+
 def spike_limits(params: DataFrame, rule: str = "sum", gate: str = "kept_rows") -> DataFrame:
     """Limits per site, null where they do not apply.
 
     A site needs a deviation of at least 1 and more than 100 rows, counted by
-    ``gate``. ``rule='product'`` is the older mean * sd * k.
+    ``gate``.
     """
-    mean, sd = F.col("mean"), F.col("sd")
-    if rule == "sum":
-        limit = {k: mean + sd * F.lit(k) for k in SPIKE_MULTIPLES}
-    elif rule == "product":
-        limit = {k: mean * sd * F.lit(k) for k in SPIKE_MULTIPLES}
-    else:
-        raise ValueError(f"unknown rule {rule!r}")
-    armed = (sd >= 1) & (F.col(gate) > 100)
+    armed = (F.col("sd") >= 1) & (F.col(gate) > 100)
+    limit = limit_rule(rule)
     return params.select(
-        "site", *[F.when(armed, value).alias(f"limit{k}") for k, value in limit.items()]
+        "site", *[F.when(armed, F.expr(limit.format(k=k))).alias(f"limit{k}") for k in SPIKE_MULTIPLES]
     )
 
 

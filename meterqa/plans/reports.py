@@ -27,6 +27,7 @@ from meterqa.functions.rounding import truncate
 from meterqa.functions.units import daily_volume_to_rate, multiday_reference
 from meterqa.operators import consents as con
 from meterqa.operators import (
+    day_states,
     grids,
     meters,
     reporting,
@@ -143,13 +144,11 @@ def quality_combined(
     # The plan covers the requested sites only, so readings need no join with them.
     cat = for_keys(catalog, "site", requested.select("site"))
     processed = series.process_catalog(cat)
-    flagged = flagged_volumes(observations, series.stitch_plan(processed), grain)
+    days = day_states.flagged_days(observations, series.stitch_plan(processed), grain=grain)
     types = series.accepted_measurements(cat).groupBy("site").agg(
         F.count(F.lit(1)).alias("meas_types")
     )
-    summary = types.join(
-        summaries.quality_summary(summaries.day_rollup(flagged)), "site", "left"
-    )
+    summary = types.join(summaries.quality_summary(days), "site", "left")
     return _with_missing(requested, catalog.select("site"), summary).withColumn(
         "meas_types",
         F.when(F.col("in_archive") == "Y", F.coalesce("meas_types", F.lit(0).cast("bigint"))),
@@ -166,21 +165,14 @@ def quality_by_measurement(
     """
     cat = for_keys(catalog, "site", requested.select("site"))
     processed = series.process_catalog(cat)
-    params = volumes.spike_params(
-        volumes.register_to_volume(observations, series.stitch_plan(processed), grain=grain)
-    )
-    flagged = volumes.mark_spikes(
-        volumes.register_to_volume(
-            observations,
-            series.whole_extent_plan(processed),
-            boundary="reset",
-            grain=grain,
-            per_site=volumes.spike_limits(params, gate="positive_rows"),
-        )
+    days = day_states.flagged_days(
+        observations,
+        series.stitch_plan(processed),
+        series.whole_extent_plan(processed),
+        grain,
+        gate="positive_rows",
     )
-    stats = summaries.quality_summary(
-        summaries.day_rollup(flagged), ["site", "measurement"]
-    ).drop("meas_used")
+    stats = summaries.quality_summary(days, ["site", "measurement"]).drop("meas_used")
     summary = processed.select("site", "measurement").join(stats, ["site", "measurement"], "left")
     return _with_missing(requested, catalog.select("site"), summary)
 
@@ -247,7 +239,7 @@ def stitched_days(
         observations, _listed(sites), None, from_date, to_date, whole_days=True
     )
     processed = series.process_catalog(for_keys(catalog, "site", sites), from_date, to_date)
-    return summaries.day_rollup(flagged_volumes(rows, series.stitch_plan(processed), grain))
+    return day_states.flagged_days(rows, series.stitch_plan(processed), grain=grain)
 
 
 def statistics_from_days(days: DataFrame, processed: DataFrame) -> dict[str, DataFrame]:

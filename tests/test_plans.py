@@ -71,19 +71,15 @@ def test_date_window_of_a_series_reaches_parquet(stored):
     assert "LessThan(date_time,2024-01-23T00:00)" in plan
 
 
-def test_monthly_pack_shuffles_readings_once(no_broadcast, stored):
+def test_monthly_pack_shuffles_registers_once(no_broadcast, stored):
     obs, cat = stored
     plan = final_plan(reports.monthly_pack(obs, cat)["monthly_statistics"])
-    lines = plan.splitlines()
-    by_bucket = [
-        i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line
-        and "ReusedExchange" not in line and "REPARTITION_BY_COL" in line
-    ]
-    assert len(by_bucket) == 1  # and the second pass over the readings reuses it
-    assert "ReusedExchange" in plan
-    # bucket ends and readings: the observations are scanned twice
+    by_bucket = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "REPARTITION_BY_COL" in line]
+    assert len(by_bucket) == 1
+    # Bucket ends with day states, and registers; no day may hold spikes here, so no recount is run.
     scans = re.findall(r"FileScan parquet \[site#\d+,measurement#\d+,date_time#\d+,value#\d+\]", plan)
     assert len(scans) == 2
+    assert "EqualTo(measurement,Water Meter)" in formatted(reports.monthly_pack(obs, cat)["monthly_statistics"])
 
 
 def test_hot_site_is_split_by_day(no_broadcast, stored):
@@ -92,8 +88,8 @@ def test_hot_site_is_split_by_day(no_broadcast, stored):
     plan = final_plan(reports.quality_combined(obs, cat, requested))
     for line in plan.splitlines():
         if "Window [lag(value" in line:
-            assert re.search(r"windowspecdefinition\(_bucket#\d+", line)
-    assert re.search(r"hashpartitioning\(_bucket#\d+, \d+\), REPARTITION_BY_COL", plan)
+            assert re.search(r"windowspecdefinition\(site#\d+, (measurement#\d+, )?date#\d+, date_time", line)
+    assert re.search(r"hashpartitioning\(site#\d+, date#\d+, \d+\), REPARTITION_BY_COL", plan)
 
 
 def test_modes_read_the_archive_once(spark):
