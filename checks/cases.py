@@ -14,16 +14,20 @@ from meterqa.functions import names, units
 from meterqa.functions.rounding import round_half_even, truncate
 from meterqa.operators import consents as con
 from meterqa.operators import (
+    day_bitmaps,
+    day_states,
     grids,
     meters,
     reporting,
     series,
+    stored_days,
     summaries,
     volumes,
     warehouse,
 )
 from meterqa.plans import reports
-from meterqa.sources import tables
+from meterqa.schema import COMPLIANCE_VOLUME
+from meterqa.sources import archive, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -361,6 +365,14 @@ def monthly_stats_windowed(spark, d):
     return pack["monthly_statistics"]
 
 
+@query
+def daily_series_consent_windowed(spark, d):
+    start, end = v.WINDOW
+    days = reports.stitched_days(v.readings(spark, d), v.catalog(spark, d), None, start, end, v.GRAIN)
+    table = reports.daily_series_consent(days, v.consents(spark, d))
+    return rounded(table, 4, "volume", "rate", "ma").transform(lambda t: rounded(t, 2, "max_rate"))
+
+
 _QA_COUNTS = [
     "total_days",
     "days_with_data",
@@ -438,6 +450,56 @@ def weekly_missing_report(spark, d):
     )
 
 
+def _day_rows(spark, d):
+    return stored_days.day_rows(v.mode_readings(spark, d))
+
+
+@query
+def modes_from_days(spark, d):
+    daily = stored_days.counts_per_day(_day_rows(spark, d), COMPLIANCE_VOLUME)
+    modes = reporting.modes_of_days(daily, v.MODES_AS_OF)
+    return reporting.pick_modes(modes, v.MODES_AS_OF)
+
+
+@query
+def weekly_report_from_days(spark, d):
+    weeks = reporting.week_and_year_of_days(_day_rows(spark, d), v.WEEK_END)
+    return reporting.missing_report(_modes_with_others(spark, d), weeks, v.week_sites(spark, d))
+
+
+@query
+def incremental_days(spark, d):
+    """Spike parameters from stored days that three deliveries brought up to date; the second corrects, the third is late and repeats."""
+    folder = v.work_folder(spark)
+    paths = f"{folder}/archive", f"{folder}/days"
+    for no, rows in enumerate(v.deliveries(spark, d)):
+        archive.deliver(rows, paths[0], no)
+        stored_days.refresh_days(spark, *paths, since=no)
+    days = stored_days.days_of_plan(stored_days.stored(spark, paths[1]), _plan(spark, d))
+    return rounded(day_states.merged_params(days), 4, "mean", "sd")
+
+
+@query
+def stitched_days_from_stored(spark, d):
+    """States of the stitched days from day rows, differences over midnight included."""
+    days = stored_days.days_of_plan(stored_days.day_rows(v.readings(spark, d)), _plan(spark, d))
+    params = day_states.merged_params(days)
+    return rounded(params, 4, "mean", "sd")
+
+
+@query
+def missing_dates_bitmaps(spark, d):
+    rows = _compliance(spark, d, "2023-12-12", v.PLOT_AS_OF).withColumn("date", F.to_date("date_time"))
+    start, end = cal.day_lit("2023-12-12"), cal.day_lit(v.PLOT_AS_OF)
+    return day_bitmaps.missing_days(day_bitmaps.day_bits(rows), start, end)
+
+
+@query
+def distinct_days_bitmaps(spark, d):
+    dated = v.long_series(spark, d).withColumn("date", F.to_date("date_time"))
+    return day_bitmaps.distinct_days(day_bitmaps.day_bits(dated))
+
+
 # --- consents and daily series -------------------------------------------------------------
 
 

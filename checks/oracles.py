@@ -702,3 +702,36 @@ _add(
   nullif(regexp_extract(upper(site), '[A-Z]+\d\d/\d+', 0), '') AS site_id, replace(site, '/', '-') AS file_name,
   trim(site || '  ') AS trimmed, CAST(contains(site, ',') AS INTEGER) AS composite FROM faulty""",
 )
+
+# --- day rows, bitmaps and windows -----------------------------------------------------
+
+for _again, _same in (
+    ("modes_from_days", "reporting_modes"),
+    ("incremental_days", "spike_params"),
+    ("weekly_report_from_days", "weekly_missing_report"),
+    ("stitched_days_from_stored", "spike_params"),
+    ("missing_dates_bitmaps", "missing_dates"),
+):
+    ORACLES[_again] = ORACLES[_same]
+
+_add(
+    "distinct_days_bitmaps",
+    f"""SELECT site, count(DISTINCT date) AS days_with_data, {iso("min(date)")} AS start_date, {iso("max(date)")} AS end_date
+FROM l GROUP BY site""",
+)
+_add(
+    "daily_series_consent_windowed",
+    f"""WITH dd AS (SELECT site, date, count(vol) AS readings, sum(vol) AS volume FROM vol_w WHERE vol >= 0 GROUP BY site, date),
+k AS (SELECT site, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT site, make_date(year(min(date)) - CASE WHEN month(min(date)) <= 6 THEN 1 ELSE 0 END, 7, 1) AS lo,
+    max(date) AS hi FROM dd GROUP BY site) q),
+w_grid AS (SELECT k.site, k.date, dd.readings, dd.volume FROM k LEFT JOIN dd USING (site, date))
+SELECT {_SERIES.replace(even(f"volume * {RATE}", 6), even(f"volume * {RATE}", 4)).replace(" volume,", f" {even('volume', 4)} AS volume,")},
+  {even("ma", 4)} AS ma, max_vol, ref_line, {even("max_rate", 2)} AS max_rate,
+  coalesce(volume > max_vol, false) AS over_max_vol, coalesce(ma > ref_line, false) AS over_ref_line,
+  coalesce(volume * {RATE} > max_rate, false) AS over_max_rate
+FROM (SELECT g.*, q.ma, lim.max_vol, lim.max_rate,
+    {even("lim.multiday_vol / CAST(lim.return_period AS DOUBLE)", 1)} AS ref_line FROM w_grid g
+  LEFT JOIN lim ON lim.ext_site_id = split_part(g.site, '-', 1)
+  LEFT JOIN ({_ma_join("w_grid")}) q ON q.site = g.site AND q.date = g.date) z""",
+)

@@ -6,6 +6,9 @@ rows, the others carry a measurement that the reports do not accept.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,6 +183,28 @@ def mode_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """``readings`` in three deliveries: most rows, some with a wrong value; the right values; late rows, and others again."""
+    rows = readings(spark, sf_dir).withColumn("_h", F.pmod(F.xxhash64("date_time", "site"), F.lit(10)))
+    wrong = F.when(F.col("_h") == 3, F.lit(None).cast("double")).otherwise(F.col("value"))
+    parts = [
+        rows.filter("_h < 8").withColumn("value", wrong),
+        rows.filter("_h = 3"),
+        rows.filter("_h >= 8 or _h = 1"),
+    ]
+    return [p.drop("_h") for p in parts]
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share: the checkpoint folder, or on a single machine a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='meterqa-')}"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def consents(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = F.col("o_custkey") % 10
     status = (

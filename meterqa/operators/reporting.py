@@ -41,7 +41,7 @@ def mode_windows(as_of: Day) -> list[tuple[int, str, dt.date, dt.date]]:
     return windows
 
 
-def _readings_per_day(observations: DataFrame, as_of: Day) -> DataFrame:
+def readings_per_day(observations: DataFrame, as_of: Day) -> DataFrame:
     year = observations_range(
         observations,
         measurements=[COMPLIANCE_VOLUME],
@@ -55,6 +55,11 @@ def _readings_per_day(observations: DataFrame, as_of: Day) -> DataFrame:
 
 
 def window_modes(observations: DataFrame, as_of: Day) -> DataFrame:
+    """:func:`modes_of_days` of the readings of the year."""
+    return modes_of_days(readings_per_day(observations, as_of), as_of)
+
+
+def modes_of_days(daily: DataFrame, as_of: Day) -> DataFrame:
     """Mode of the daily reading count per site and window, empty days as 0.
 
     The archive is read and shuffled once, as daily counts. A window ends at a
@@ -82,7 +87,7 @@ def window_modes(observations: DataFrame, as_of: Day) -> DataFrame:
         *[F.lit(x) for no, _, start, end in windows for x in (no, (end - start).days + 1)]
     )
     histogram = (
-        _readings_per_day(observations, as_of)
+        daily.filter(day.between(day_lit(windows[0][2]), day_lit(as_of)))
         .withColumn("entry", F.explode(F.filter(entries, lambda e: e.isNotNull())))
         .select("site", "entry.window_no", "entry.readings")
         .groupBy("site", "window_no", "readings")
@@ -128,6 +133,11 @@ def annual_mode(observations: DataFrame, as_of: Day) -> DataFrame:
 
 
 def reporting_modes(observations: DataFrame, as_of: Day) -> DataFrame:
+    """:func:`pick_modes` of the readings of the year."""
+    return pick_modes(window_modes(observations, as_of), as_of)
+
+
+def pick_modes(modes: DataFrame, as_of: Day) -> DataFrame:
     """Annual mode, or the first non-zero quarter when that is 0.
 
     The share is given for annual modes only. Sites without a reading in the
@@ -137,8 +147,7 @@ def reporting_modes(observations: DataFrame, as_of: Day) -> DataFrame:
     names = F.create_map(*[F.lit(x) for no, name, _, _ in mode_windows(as_of) for x in (no, name)])
     nonzero = F.when(F.col("mode") != 0, F.struct("window_no", "mode"))
     return (
-        window_modes(observations, as_of)
-        .groupBy("site")
+        modes.groupBy("site")
         .agg(
             F.min(nonzero).alias("pick"),
             F.max(F.when(F.col("window_no") == 0, _share())).alias("annual_freq"),
@@ -174,6 +183,28 @@ def week_and_year(observations: DataFrame, week_end: Day) -> DataFrame:
     )
 
 
+def week_and_year_of_days(days: DataFrame, week_end: Day) -> DataFrame:
+    """:func:`week_and_year` from stored day rows; of the last day only its midnight counts."""
+    end = days_after(week_end, 1)
+    last_day = F.col("date") == day_lit(end)
+    rows = days.filter(
+        (F.col("measurement") == COMPLIANCE_VOLUME)
+        & F.col("date").between(day_lit(days_before(end, YEAR_DAYS)), day_lit(end))
+        & (~last_day | (F.col("midnight_rows") > 0))
+    ).withColumns(
+        {
+            "_count": F.when(last_day, F.col("midnight_values")).otherwise(F.col("n_values")),
+            "_last": F.when(last_day, F.col("date").cast("timestamp_ntz")).otherwise(F.col("last_time")),
+        }
+    )
+    in_week = F.col("date") >= day_lit(days_before(end, 7))
+    return rows.groupBy("site").agg(
+        F.coalesce(F.sum(F.when(in_week, F.col("_count"))), F.lit(0)).cast("bigint").alias("week_readings"),
+        F.max(F.when(in_week, F.col("_last"))).alias("week_last"),
+        F.max("_last").alias("year_last"),
+    )
+
+
 def percent_complete(week_readings, mode):
     """Readings of eight calendar days, less the closing midnight, against the mode."""
     expected = (mode * 7).cast("double")
@@ -197,6 +228,11 @@ def weekly_completeness(modes: DataFrame, observations: DataFrame, week_end: Day
 def weekly_missing_report(
     modes: DataFrame, observations: DataFrame, archive_sites: DataFrame, week_end: Day
 ) -> DataFrame:
+    """:func:`missing_report` of the readings of the year."""
+    return missing_report(modes, week_and_year(observations, week_end), archive_sites)
+
+
+def missing_report(modes: DataFrame, weeks: DataFrame, archive_sites: DataFrame) -> DataFrame:
     """One row per site of the mode table: a percentage, or a status saying why not.
 
     A site unknown to the archive gets ``Key error``; a null mode is treated as
@@ -204,7 +240,7 @@ def weekly_missing_report(
     """
     held = archive_sites.select(F.col(archive_sites.columns[0]).alias("site")).distinct()
     joined = modes.join(held.withColumn("held", F.lit(True)), "site", "left").join(
-        week_and_year(observations, week_end), "site", "left"
+        weeks, "site", "left"
     )
     in_week = F.col("week_last").isNotNull() & F.col("mode").isNotNull()
     known = F.coalesce("held", F.lit(False))

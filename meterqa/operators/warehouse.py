@@ -17,7 +17,7 @@ def scan_sites(warehouse: DataFrame, sites: Keys | None) -> DataFrame:
     """Readings of some sites; a value that is NaN, or text that is no number, is null."""
     value = as_number(warehouse, "observation_value")
     rows = warehouse.withColumn("observation_value", value)
-    return for_keys(rows, "site_id", sites, spread="observation_date_time")
+    return for_keys(rows, "site_id", sites)
 
 
 def with_previous(warehouse: DataFrame, grain: str = "day") -> DataFrame:

@@ -15,6 +15,13 @@ DEFAULTS = {
     # Split a skewed join even where the next step then needs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A table of requested sites filters a large scan before the shuffle; the filter holds 4 MB at most.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "33554432",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "33554432",
     # Call sites of every expression cost more than the planning of a report.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -15,34 +15,31 @@ from meterqa.schema import require_columns
 
 Keys = Sequence[str] | DataFrame
 
-# A hot key's rows meet a table of keys in so many parts.
-KEY_PARTS = 32
-
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table with a declared schema; nothing is inferred from the files."""
     return spark.read.schema(schema).parquet(path)
 
 
-def for_keys(df: DataFrame, column: str, keys: Keys | None, spread: str | None = None) -> DataFrame:
+def for_keys(df: DataFrame, column: str, keys: Keys | None) -> DataFrame:
     """Rows whose ``column`` is among the keys; ``None`` keeps all.
 
     A list becomes a pushed-down IN filter. A DataFrame (its first column)
-    becomes a left-semi join, where Spark decides from the measured size
-    whether to broadcast. Where one key may hold a large part of the rows,
-    ``spread`` names a column by whose hash they are dealt to several parts.
+    becomes a left-semi join. Spark broadcasts the keys where their measured
+    size allows; else it shuffles both sides, after its own join filter (a
+    Bloom filter of the keys, at most ``runtime.bloomFilter.maxNumBits``) has
+    dropped most other rows at the scan. What a hot key leaves is a skewed
+    join, which Spark splits.
     """
     if keys is None:
         return df
     if not isinstance(keys, DataFrame):
         return df.filter(F.col(column).isin(list(keys)))
-    wanted = keys.select(F.col(keys.columns[0]).alias(column))
-    if spread is None:
-        return df.join(wanted, column, "left_semi")
-    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(KEY_PARTS - 1).cast("bigint")))
-    everywhere = wanted.distinct().withColumn("_part", parts)
-    dealt = df.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(KEY_PARTS)))
-    return dealt.join(everywhere, [column, "_part"], "left_semi").drop("_part").select(*df.columns)
+    wanted = keys.select(F.col(keys.columns[0]).alias(column)).filter(F.col(column).isNotNull())
+    if isinstance(wanted.schema[column].dataType, T.StringType):
+        # True of every text: Spark makes a join filter only of keys that a comparison restricts.
+        wanted = wanted.filter(F.col(column) >= "")
+    return df.join(wanted, column, "left_semi")
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -83,7 +80,7 @@ def observations_range(
             rows = rows.filter(F.col("date_time") < end)
         else:
             rows = rows.filter(F.col("date_time") <= midnight_like(rows, "date_time", to_date))
-    return for_keys(rows, "site", sites, spread="date_time")
+    return for_keys(rows, "site", sites)
 
 
 def measurement_catalog(observations: DataFrame) -> DataFrame:

@@ -92,6 +92,26 @@ def test_hot_site_is_split_by_day(no_broadcast, stored):
     assert re.search(r"hashpartitioning\(site#\d+, date#\d+, \d+\), REPARTITION_BY_COL", plan)
 
 
+def test_requested_sites_filter_the_scan(no_broadcast, stored):
+    """Of the readings, about those of the requested sites enter the exchange."""
+    obs, cat = stored
+    spark, key = no_broadcast, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        sites = cat.select("site").filter("site < 'BU02'").distinct()
+        kept = tables.for_keys(obs, "site", sites)
+        plan = final_plan(kept)
+        found = kept.collect()
+    finally:
+        spark.conf.set(key, before)
+    lines = plan.splitlines()
+    filtered = next(i for i, line in enumerate(lines) if "might_contain" in line)
+    assert any(re.search(r"Exchange hashpartitioning\(site#\d+, \d+\)", line) for line in lines[:filtered])
+    assert "Generate" not in plan
+    assert 0 < len(found) == obs.join(sites, "site", "left_semi").count() < obs.count() / 3
+
+
 def test_modes_read_the_archive_once(spark):
     plan = final_plan(reports.reporting_modes(v.mode_readings(spark, SF), v.MODES_AS_OF))
     assert plan.count("FileScan") == 1
