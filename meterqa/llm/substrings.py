@@ -9,8 +9,10 @@ sort or ship, so the work is cut by content, without loss:
    with counts, a second keeps those entered twice; false hits cost only work.
 3. For runs of strings with one anchor the text around it (a context) is shuffled by the anchor, equal contexts of a task once. Tasks
    sort the suffixes of a block of whole anchors at a time (``suffixes``), which bounds memory, and report strings found twice.
-4. Anchors with more than ``MANY`` places could not be held in a task. Equal contexts of those are made one, and a filter as in 2 leaves
-   out strings that occur once in them. The others are counted by 128-bit hashes, with counts taken before the shuffle.
+4. An anchor with very many places is crowded. Equal contexts of it are made one, whatever task they are in; if more than ``MANY`` are left,
+   each is split in two: the strings that reach far to the left of the anchor, and those that reach far to the right. Equal strings fall
+   on the same side and share more bytes beside the anchor, which part the context anew. Parts that are equal become one again,
+   and so on until a block holds what is left of an anchor; at the last the strings themselves are parted.
 """
 
 from __future__ import annotations
@@ -143,7 +145,7 @@ class CellBits:
         return hit
 
 
-CONTEXT = "key long, c long, d long, s long, t long, at long, n long, times long, many boolean, context binary"
+CONTEXT = "key long, c long, d long, s long, t long, at long, n long, p long, times long, many boolean, context binary"
 
 
 def _contexts(filters):
@@ -180,6 +182,7 @@ def _contexts(filters):
                         pa.array(t[row + text]),
                         pa.array(first - offsets[text] + before),
                         pa.array(after - first),
+                        pa.array(anchor - first),
                         pa.array(np.where(carries, occurred[which], 0)),
                         pa.array(often.has(h)),
                         pa.Array.from_buffers(pa.binary(), len(h), buffers),
@@ -241,35 +244,73 @@ def _sorted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from found()
 
 
-def _string_hashes(batch: pa.RecordBatch) -> np.ndarray:
-    found = [_Hashes(np.frombuffer(x.as_py(), np.uint8), 0).grams(LENGTH) for x in batch.column(0)]
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+#: Places that a string of one anchor may begin at, counted back from the anchor.
+REACH = LENGTH - GRAM
+PART = "key long, c long, d long, n long, p long, low long, high long, times long, context binary, of_c long, of_d long, base long"
 
 
-def _hashed_strings(twice):
-    """The strings of the contexts that may occur twice, as two hashes."""
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts in two parts each, named by their bytes; a part's key is the hash of the bytes that all its strings have.
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for c, d, times, context in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                data = np.frombuffer(context, np.uint8)
-                g, h = (_Hashes(data, i).grams(LENGTH) for i in (0, 1))
-                some = np.arange(len(g)) if times > 1 else np.flatnonzero(twice.value.has(g))
-                if not len(some):
+    The strings of a context begin ``low`` to ``high`` bytes before the anchor, or fewer of these; ``p`` is the anchor's place in it.
+    """
+    for batch in batches:
+        out: list[tuple] = []
+        for c, d, n, p, low, high, times, context in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            middle = low + (high - low + 1) // 2
+            data = np.frombuffer(context, np.uint8)
+            hashes = [_Hashes(data, i) for i in (0, 1)]
+            for least, most in ((middle, high), (low, middle - 1)):
+                first, last = max(p - most, 0), min(p - least, n - 1)
+                if first > last:
                     continue
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(g[some].view(np.int64)),
-                        pa.array(h[some].view(np.int64)),
-                        pa.array(np.full(len(some), c)),
-                        pa.array(np.full(len(some), d)),
-                        pa.array(some),
-                        pa.array(np.full(len(some), times)),
-                    ],
-                    names=["g", "h", "c", "d", "first", "times"],
+                end = last + LENGTH
+                core = p - least, p + LENGTH - most
+                shape = (p - first) * 1024 + last - first + 1
+                at = np.array([first, core[0]]), np.array([end, core[1]])
+                own = [mixed(h.of(*at) + np.uint64(shape * 1048576 + least * 1024 + most)) for h in hashes]
+                key = mixed(hashes[0].of(*at) + np.uint64(least * 1024 + most))
+                out.append(
+                    (
+                        *(x.view(np.int64) for x in (key[1:], own[0][:1], own[1][:1])),
+                        (last - first + 1, p - first, least, most, times),
+                        context[first:end],
+                        (c, d, first),
+                    )
                 )
-
-    return strings
+        if not out:
+            continue
+        numbers = np.array([[k[0], a[0], b[0], *shape, *of] for k, a, b, shape, _, of in out], np.int64).T
+        names = [x.split()[0] for x in PART.split(", ")]
+        columns = [pa.array(x) for x in numbers]
+        columns.insert(8, pa.array([r[4] for r in out], pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _marked_crowds(crowded: DataFrame, many: int) -> DataFrame:
+    """(c, d, first, after) of the strings found twice in the contexts (key, c, d, n, p, times, context) of crowded anchors."""
+    named = ["key", "c", "d", "n", "p", "low", "high"]
+    whole = crowded.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(REACH).cast("long")})
+    parts = written(whole.groupBy(*named).agg(F.sum("times").alias("times"), F.first("context").alias("context")))
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    while True:
+        sizes = parts.groupBy("key").agg(F.count("*").alias("size"))
+        sized = written(parts.join(sizes, "key").withColumn("crowd", F.col("size") > many))
+        few = sized.filter("not crowd").select("key", "c", "d", "n", "times", "context")
+        found = written(few.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_blocks, FOUND))
+        crowd = sized.filter("crowd")
+        if crowd.isEmpty():
+            break
+        # A part of one string per context has a key of its own, so this ends.
+        split = written(crowd.select(*named[1:], "times", "context").mapInArrow(_split, PART))
+        levels.append((found, split.select("c", "d", "of_c", "of_d", "base")))
+        parts = written(split.groupBy(*named).agg(F.sum("times").alias("times"), F.first("context").alias("context")))
+    for before, links in reversed(levels):
+        up = links.join(found, ["c", "d"]).select(
+            F.col("of_c").alias("c"), F.col("of_d").alias("d"), (F.col("base") + F.col("first")).alias("first"), (F.col("base") + F.col("after")).alias("after")
+        )
+        found = before.unionByName(up)
+    return found
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,14 +363,8 @@ def repeated_spans(docs: DataFrame, segments: int = SEGMENTS, many: int = MANY)
     carried = contexts.filter("times > 0")
     few = carried.filter("not many").select("key", "c", "d", "n", "times", "context")
     found = few.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_blocks, FOUND)
-    crowded = carried.filter("many").groupBy("c", "d").agg(F.sum("times").alias("times"), F.first("context").alias("context"))
-    crowded = written(crowded)
-    again = written(repeated_cells(crowded.select("context"), segments, hashes_of=_string_hashes))
-    twice = spark.sparkContext.broadcast(CellBits(again, "words", segments))
-    strings = crowded.mapInArrow(_hashed_strings(twice), "g long, h long, c long, d long, first long, times long")
-    common = strings.groupBy("g", "h").agg(F.sum("times").alias("times")).filter("times > 1").drop("times")
-    counted_out = strings.join(common, ["g", "h"]).select("c", "d", "first", (F.col("first") + 1).alias("after"))
-    marked = found.unionByName(counted_out).distinct()
+    crowds = _marked_crowds(carried.filter("many").select("key", "c", "d", "n", "p", "times", "context"), many)
+    marked = found.unionByName(crowds).distinct()
     places = contexts.select("c", "d", "s", "t", "at")
     spans = places.join(marked, ["c", "d"]).select(
         "s", "t", (F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("after") - 1 + LENGTH).alias("after")

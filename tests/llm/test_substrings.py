@@ -32,6 +32,43 @@ def test_against_brute_force(spark, many):
     assert [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in found] == sorted(want, key=key)
 
 
+def test_near_copies_by_the_thousand(spark):
+    """A crowd that is split down to single strings, and one that is not: the same bytes, and rows in proportion to the contexts."""
+    rng = random.Random(11)
+    base = cases.prose(rng, 80)
+    texts = []
+    for _ in range(1500):
+        words = base.split()
+        for at in rng.sample(range(len(words)), 3):
+            words[at] = f"x{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    want = [(i, *b) for i, b in enumerate(brute(texts))]
+    for many in (substrings.MANY, 40):
+        got = substrings.without_repeats(docs, many=many)
+        found = cases.tuples(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+        assert [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in found] == want
+
+
+def test_split_keeps_every_string_once():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    rows = [(1, 2, 137, 136, 0, 136, 1, rng.integers(97, 99, 336).astype(np.uint8).tobytes())]
+    rows += [(3, 4, 50, 90, 0, 136, 1, rng.integers(97, 99, 249).astype(np.uint8).tobytes())]
+    names = ["c", "d", "n", "p", "low", "high", "times", "context"]
+    seen = []
+    for _ in range(9):
+        batch = pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*rows, strict=True)], names=names)
+        parts = [r for b in substrings._split(iter([batch])) for r in b.to_pylist()]
+        assert all(len(r["context"]) == r["n"] - 1 + 200 and r["low"] <= r["high"] for r in parts)
+        rows = [tuple(r[x] for x in names) for r in parts]
+        seen.append(sum(r["n"] for r in parts))
+        if all(r["low"] == r["high"] for r in parts):
+            break
+    assert set(seen) == {137 + 50} and len(rows) == 137 + 50
+
+
 def test_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(substrings, "PIECE_BYTES", 1000)
     rng = np.random.default_rng(2)
