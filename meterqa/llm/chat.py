@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from meterqa.llm.base import written
+
 #: Turns of one conversation that a window holds; longer ones are cut and carried on.
 SPAN = 512
 ROLE_OPEN, ROLE_CLOSE, TURN_CLOSE = "<|", "|>\n", "<|end|>\n"
@@ -30,9 +32,10 @@ def _turns(chats: DataFrame) -> DataFrame:
 def prefix_hashes(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(prefixes, wholes): the proper prefixes (n, a, b) of all conversations, and each one's own (conv, n, a, b)."""
     hashed = _turns(chats).select(
-        "conv", "span", "turn", F.xxhash64("role", "text").alias("x"), F.xxhash64("text", "role", F.lit(7)).alias("y")
+        "*", F.xxhash64("role", "text").alias("x"), F.xxhash64("text", "role", F.lit(7)).alias("y")
     )
-    inside = W.partitionBy("conv", "span").orderBy("turn", "x", "y")
+    # The order in which turns are rendered, ties included.
+    inside = W.partitionBy("conv", "span").orderBy("turn", "role", "text")
     counts = hashed.groupBy("conv", "span").agg(F.count("*").alias("n"))
     earlier = W.partitionBy("conv").orderBy("span").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(
@@ -43,13 +46,15 @@ def prefix_hashes(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # The place in the whole conversation, whatever the numbering.
     placed = hashed.withColumn("row", F.row_number().over(inside)).join(starts, ["conv", "span"])
-    keyed = placed.withColumn("at", F.col("n0") + F.col("row")).select(
-        "conv",
-        "span",
-        "at",
-        "total",
-        F.xxhash64("x", "at", F.lit(1)).alias("a"),
-        F.xxhash64("y", "at", F.lit(2)).alias("b"),
+    keyed = written(
+        placed.withColumn("at", F.col("n0") + F.col("row")).select(
+            "conv",
+            "span",
+            "at",
+            "total",
+            F.xxhash64("x", "at", F.lit(1)).alias("a"),
+            F.xxhash64("y", "at", F.lit(2)).alias("b"),
+        )
     )
     spans = keyed.groupBy("conv", "span").agg(F.count("*").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
     carried = spans.select(

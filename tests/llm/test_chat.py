@@ -54,6 +54,29 @@ def test_place_and_not_number_decides(spark):
     assert sorted(tuple(r) for r in got) == [(2, 601, 1), (3, 2, 2), (6, 2, 1)]
 
 
+def test_tied_numbers_against_the_sql(spark):
+    """Turns of one number, in the order of role and text wherever they count."""
+    import random
+
+    import duckdb
+
+    from meterqa.llm.queries import ORACLES
+
+    rng = random.Random(12)
+    chats = []
+    for c in range(0, 400, 2):
+        turns = [(rng.choice([None, 0, 0, 1, 600]), rng.choice(["user", "assistant"]), rng.choice("ab") * rng.randint(0, 2)) for _ in range(rng.randint(1, 3))]
+        chats += [(c, turns), (c + 1, turns + [(rng.choice([0, 1, 700]), "user", rng.choice("abc"))])]
+    rows = [(c, t, r, x) for c, turns in chats for t, r, x in turns]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = chat.rendered(table(spark, chats))
+    assert cases.tuples(got, "conv_id", "n_turns", "n_copies", "chat") == sorted(
+        con.execute(f"SELECT conv_id, n_turns, n_copies, chat FROM ({ORACLES['op3_chat_format']})").fetchall()
+    )
+
+
 def test_empty(spark):
     assert chat.rendered(table(spark, [])).count() == 0
 
