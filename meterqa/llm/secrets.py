@@ -33,8 +33,11 @@ IDENTIFIER = re.compile(
     r"""\b(?:client[_-]?id|account|user(?:name)?|login|key[_-]?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]{3,}""",
     re.ASCII | re.IGNORECASE,
 )
-ENDPOINT = re.compile(
-    r"""\b[a-z][a-z0-9+.-]*://[^\s"'<>]+|\b(?:host|endpoint|server|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{4,}"""
+#: The start of a scheme, and an address from its colon on; what lies between is looked back over, not searched anew from every dash.
+SCHEME, ADDRESS = re.compile(r"\b[a-z]", re.ASCII | re.IGNORECASE), re.compile(r"""://[^\s"'<>]+""")
+_IN_SCHEME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
+HOST = re.compile(
+    r"""\b(?:host|endpoint|server|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{4,}"""
     r"""|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9.])""",
     re.ASCII | re.IGNORECASE,
 )
@@ -61,6 +64,27 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     return sorted(spans), short
 
 
+def endpoint_spans(text: str) -> list[tuple[int, int]]:
+    """Addresses with a scheme, named hosts and numeric addresses, the leftmost first and none inside another."""
+    spans = [m.span() for m in HOST.finditer(text)]
+    at = text.find("://")
+    while at >= 0:
+        begin, address = at, ADDRESS.match(text, at)
+        while begin and text[begin - 1] in _IN_SCHEME:
+            begin -= 1
+        scheme = SCHEME.search(text, begin, at)
+        if scheme and address:
+            spans.append((scheme.start(), address.end()))
+            at = text.find("://", address.end())
+        else:
+            at = text.find("://", at + 3)
+    found: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if not found or start >= found[-1][1]:
+            found.append((start, end))
+    return found
+
+
 def _within(parts: np.ndarray, starts: np.ndarray, ends: np.ndarray, scope: int) -> np.ndarray:
     """Interval join: whether any of ``parts`` (starts and ends, sorted by start) comes within ``scope`` of each interval."""
     if not len(parts):
@@ -80,7 +104,7 @@ def multipart_spans(text: str, base: list[Span], short: list[tuple[int, int]], s
     if not names and not access:
         return []
     taken = [(s, e) for s, _, e in base]
-    endpoints = [m.span() for m in ENDPOINT.finditer(text)]
+    endpoints = endpoint_spans(text)
     weak = set(short) | {m.span() for m in TOKEN.finditer(text)}
     covered = np.array(sorted(taken), np.int64).reshape(-1, 2)
     intervals = np.array(sorted(weak), np.int64).reshape(-1, 2)

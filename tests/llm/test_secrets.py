@@ -64,3 +64,20 @@ def test_interval_join_against_all_pairs():
 
 def test_empty(spark):
     assert secrets.secret_spans(cases.empty_table(spark)).count() == 0
+
+
+def test_long_runs_are_read_once():
+    import time
+
+    text = "user=abcd " + "a-" * 2_500_000 + "://"
+    begun = time.perf_counter()
+    base, short = secrets.base_spans(text)
+    assert secrets.multipart_spans(text, base, short) == []
+    assert time.perf_counter() - begun < 20
+
+
+def test_endpoints():
+    found = [("x https://a.b/c?d=e y", ["https://a.b/c?d=e"]), ("9http://z ://q a-b+c://w", ["a-b+c://w"]), ("host: db.example.org", ["host: db.example.org"])]
+    found += [("url=https://u.v/w 10.0.0.1", ["url=https://u.v/w", "10.0.0.1"]), ("-9.s3://bucket", ["s3://bucket"]), ("no://", []), ("1.2.3.4.5", [])]
+    for text, want in found:
+        assert [text[a:b] for a, b in secrets.endpoint_spans(text)] == want, text
