@@ -32,9 +32,11 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder for cut lineage; a temporary one only where none is set, as in tests."""
+    """The cluster's folder for cut lineage; a temporary one only where none is set and all tasks run on this machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='meterqa-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -23,6 +23,8 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 LEAST_GROUP = 200
 #: Share of a group's documents that a concentration step keeps.
 CORE = 0.75
+#: The level of the estimate from all documents that pass the base rules.
+EVERY = 3
 STEPS = 3
 VECTOR = ("_x0", "_x1", "_x2", "_x3", "_x4")
 D = len(VECTOR)
@@ -114,7 +116,7 @@ def statistics(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
 
 
 def group_keys(rows: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
-    """(_key, _group): the estimate that serves each language and source; null where too few documents are left.
+    """(_key, _group): the estimate that serves each language and source; that of all documents where too few are left.
 
     Keys and groups are structs, in which nulls equal nulls.
     """
@@ -124,7 +126,7 @@ def group_keys(rows: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     langs = pooled.groupBy("_lang").agg(F.first("in_lang").alias("n"))
     rest = langs.agg(F.coalesce(F.sum(F.when(F.col("n") < least, F.col("n"))), F.lit(0)).alias("rest"))
     level = (
-        F.when(F.col("n") >= least, 0).when(F.col("in_lang") >= least, 1).when(F.col("rest") >= least, 2)
+        F.when(F.col("n") >= least, 0).when(F.col("in_lang") >= least, 1).when(F.col("rest") >= least, 2).otherwise(EVERY)
     )
     group = F.struct(
         level.alias("level"),
@@ -133,7 +135,7 @@ def group_keys(rows: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     )
     # ``rest`` is a single row.
     return pooled.join(F.broadcast(rest)).select(
-        F.struct("_lang", "_source").alias("_key"), F.when(level.isNotNull(), group).alias("_group")
+        F.struct("_lang", "_source").alias("_key"), group.alias("_group")
     )
 
 
@@ -237,8 +239,12 @@ def estimates(rows: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, stats: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     """``docs`` (rows of ``statistics``) with _distance2 and _kept, by estimates from the ``stats`` of all documents."""
     keys = written(group_keys(stats, least))
-    grouped = stats.filter(~F.col("_failed")).withColumn("_key", F.struct("_lang", "_source")).join(keys, "_key")
-    found = estimates(grouped.filter(F.col("_group").isNotNull()))
+    usable = stats.filter(~F.col("_failed"))
+    grouped = usable.withColumn("_key", F.struct("_lang", "_source")).join(keys.filter(F.col("_group.level") < EVERY), "_key")
+    # One row, if any group falls back on all documents.
+    every = keys.select("_group").filter(F.col("_group.level") == EVERY).distinct().withColumn("_level", F.lit(EVERY))
+    everywhere = usable.withColumn("_level", F.lit(EVERY)).join(F.broadcast(every), "_level")
+    found = estimates(grouped.select("_group", *VECTOR).unionByName(everywhere.select("_group", *VECTOR)))
     verdicts = written(keys.join(found, "_group", "left").select("_key", "m", "k"))
     met = docs.withColumn("_key", F.struct("_lang", "_source")).join(verdicts, "_key", "left")
     distance = F.when(F.col("m").isNotNull(), _distance())
@@ -251,8 +257,8 @@ def quality_verdicts(docs: DataFrame, least: int = LEAST_GROUP) -> DataFrame:
     """Per document: doc_id, the counts, base_failed, kept, distance2.
 
     A null text has no words and fails the base rules. Null languages and sources are groups like others. Where a group, pooled
-    as far as possible, has fewer than ``least`` documents that pass the base rules, there is no estimate and
-    distance2 is null; such documents are kept. Repeated rows are separate documents. An empty table
+    as far as possible, has fewer than ``least`` documents that pass the base rules, it is judged by the estimate from all
+    such documents of the table, however few; the floors keep that regular. distance2 is null where none passes. Repeated rows are separate documents. An empty table
     gives an empty result.
     """
     stats = written(statistics(docs.select("doc_id", "text", "lang", "source")).drop("text", "lang", "source"))

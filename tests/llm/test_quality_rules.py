@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -132,7 +133,8 @@ def test_odd_rows(spark):
     names = ("doc_id", *quality.COUNTS)
     want = [(r[0], *counts(r[1])[:5]) for r in cases.odd_documents()]
     assert cases.tuples(got, *names) == sorted(want, key=lambda r: tuple((x is None, x) for x in r))
-    assert got.filter("kept = base_failed").count() == 0  # too few documents for an estimate
+    assert got.filter("kept and base_failed").count() == 0
+    assert got.filter("distance2 is null and not base_failed").count() == 0  # few documents have the estimate of all
     left = quality.passing(docs)
     assert left.columns == docs.columns
     assert cases.tuples(left, "doc_id") == cases.tuples(got.filter("kept"), "doc_id")
@@ -140,6 +142,22 @@ def test_odd_rows(spark):
     assert quality.passing(cases.empty_table(spark)).count() == 0
 
 
+def test_few_documents_with_an_outlier(spark):
+    rng = random.Random(21)
+    rows = [(i, cases.prose(rng, rng.randint(80, 120)), f"l{i % 3}", f"s{i % 7}") for i in range(60)]
+    rows.append((60, " ".join("#$%" * 12 for _ in range(90)), "l1", "s2"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.quality_verdicts(docs).collect()}
+    rows[60] = (60, " ".join(f"#${chr(97 + i % 26)}%{i}#" for i in range(90)), "l1", "s2")
+    again = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    odd = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.quality_verdicts(again).collect()}
+    assert got[60][0] and odd[60] == (False, False)
+    assert sum(kept for i, (_, kept) in odd.items() if i < 60) >= 58
+    alone = spark.createDataFrame(rows[:1], "doc_id long, text string, lang string, source string")
+    assert [(r["kept"], r["distance2"]) for r in quality.quality_verdicts(alone).collect()] == [(True, 0.0)]
+
+
+
 def test_native(spark):
     plan = quality.passing(cases.odd_table(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
