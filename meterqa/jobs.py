@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from meterqa import schema
 from meterqa.functions.calendar import parse_day
-from meterqa.operators import series
+from meterqa.functions.names import is_composite
+from meterqa.operators import reporting, series, stored_days
 from meterqa.operators.consents import with_dates
 from meterqa.plans import reports
 from meterqa.session import build_session
-from meterqa.sources import files, tables
+from meterqa.sources import archive, files, tables
 
 
 def _observations(spark: SparkSession, args) -> DataFrame:
@@ -75,6 +76,21 @@ def reporting_modes(spark: SparkSession, args) -> None:
     files.write_csv(reports.reporting_modes(obs, args.as_of, sites), args.out)
 
 
+def deliver(spark: SparkSession, args) -> None:
+    """Add a delivery to the archive and bring the stored day rows up to date; a job that is repeated changes nothing."""
+    archive.deliver(_observations(spark, args), args.archive, args.delivery)
+    stored_days.refresh_days(spark, args.archive, args.out, since=args.delivery)
+
+
+def stored_modes(spark: SparkSession, args) -> None:
+    """Reporting modes from stored day rows; no reading is scanned."""
+    days = stored_days.stored(spark, args.days)
+    days = days.filter(~is_composite(F.col("site")))
+    daily = stored_days.counts_per_day(days, schema.COMPLIANCE_VOLUME)
+    modes = reporting.pick_modes(reporting.modes_of_days(daily, args.as_of), args.as_of)
+    files.write_csv(modes, args.out)
+
+
 def weekly_report(spark: SparkSession, args) -> None:
     obs = _observations(spark, args)
     modes = files.read_reporting_modes(spark, args.modes)
@@ -193,6 +209,9 @@ def _parser() -> argparse.ArgumentParser:
     dates = ("--date-format", formats | {"help": "of permit dates that are text; the first that fits"})
 
     job("reporting-modes", reporting_modes, site, sites, as_of, part)
+    delivery = (("--archive", needed), ("--delivery", {"required": True, "type": int}))
+    job("deliver", deliver, *delivery)
+    job("stored-modes", stored_modes, as_of, ("--days", needed), observations=None)
     job("weekly-report", weekly_report, archive, week_end, ("--modes", needed))
     job("recent-plots", recent_plots, site, sites, as_of)
     job("month-plots", month_plots, site, sites, start, grain)

@@ -195,3 +195,18 @@ def test_warehouse_job(spark, stored, tmp_path):
     )
     table = spark.read.option("header", True).csv(out)
     assert rows(table.select("site_id", "date", "daily_measured_value")) == [("S", "2024-01-01", "5.0")]
+
+
+def test_deliveries_and_stored_modes(spark, tmp_path, observations):
+    """Modes from day rows that two deliveries brought up to date are those of all readings."""
+    data = [("BU24/0001-M1", "Compliance Volume", ts(f"2024-03-{d:02d}T{h:02d}:00:00"), 1.0) for d in range(1, 29) for h in (0, 12)]
+    data += [("BU24/0002-M1,BU24/0003-M1", "Compliance Volume", ts("2024-03-05T00:00:00"), 1.0)]
+    archive, days = str(tmp_path / "archive"), str(tmp_path / "days")
+    for no, part in enumerate((data[:40], data[30:])):
+        observations(part).write.parquet(str(tmp_path / f"in{no}"))
+        jobs.main(["--master", "local[8]", "deliver", "--observations", str(tmp_path / f"in{no}"), "--archive", archive, "--delivery", str(no), "--out", days])
+    jobs.main(["--master", "local[8]", "stored-modes", "--days", days, "--as-of", "2024-03-28", "--out", str(tmp_path / "stored")])
+    observations(data).write.parquet(str(tmp_path / "all"))
+    jobs.main(["--master", "local[8]", "reporting-modes", "--observations", str(tmp_path / "all"), "--as-of", "2024-03-28", "--out", str(tmp_path / "plain")])
+    found = [rows(files.read_reporting_modes(spark, str(tmp_path / x)), "site") for x in ("stored", "plain")]
+    assert found[0] == found[1] and len(found[0]) == 1
