@@ -31,7 +31,7 @@ TOP = 2000
 #: A candidate goes if a longer one holds at least this percentage of its occurrences.
 INSIDE = 50
 #: Words whose edges a task counts together; words of a bucket; a block names words that hold this share of it as heavy.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
 BUCKET_WORDS = 1 << 20
 HEAVY_SHARE = 1 / 65536
 #: Nodes of a compacted path that are kept in one row.
