@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import cases
+import pytest
 
 from meterqa.llm import mixing
 
@@ -61,7 +62,7 @@ def test_table(spark):
     assert Counter((r["doc_id"], r["source"]) for r in got) == Counter((r[0], r[3]) for r in rows)
     sizes = Counter(r[3] for r in rows)
     names = sorted(sizes, key=lambda s: (-sizes[s], (s is not None, s or "")))
-    weights = mixing.quanta([sizes[s] for s in names])
+    weights = mixing.quanta([sizes[s] ** mixing.FLATTEN for s in names])
     order = schedule([-(-sizes[s] // 4) for s in names], weights)
     slots = {r["slot"]: r["source"] for r in got}
     assert [slots[i] for i in range(len(slots))] == [names[s] for s in order]
@@ -69,12 +70,56 @@ def test_table(spark):
     assert Counter(Counter((r["source"], r["block"]) for r in got).values())[4] >= sum(n // 4 for n in sizes.values())
 
 
-def test_given_weights_and_small_sources(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "OWN_SOURCES", 2)
+def test_given_weights(spark):
     docs = spark.createDataFrame([(i, f"s{i % 5}") for i in range(100)], "doc_id long, source string")
-    got = mixing.mix_order(docs, {"s0": 3, "s1": 1}, block=1).orderBy("place").collect()
-    assert len(got) == 100 and len({r["slot"] for r in got}) == 100
-    assert Counter(r["source"] if r["source"] in ("s0", "s1") else "rest" for r in got[:25]) == {"s0": 15, "s1": 5, "rest": 5}
+    got = mixing.mix_order(docs, {"s0": 3, "s1": 0.5, "s2": 0.5}, block=1).orderBy("place").collect()
+    assert len(got) == 100 and {r["slot"] for r in got} == set(range(100))
+    assert Counter(r["source"] for r in got[:24]) == {"s0": 12, "s1": 2, "s2": 2, "s3": 4, "s4": 4}
+    none = mixing.mix_order(docs, {"s0": 0, "s3": 0}, block=1).orderBy("place").collect()
+    assert {r["source"] for r in none[:60]} == {"s1", "s2", "s4"}
+    assert Counter(r["source"] for r in none[60:70]) == {"s0": 5, "s3": 5}
+    for bad in (-1, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            mixing.mix_order(docs, {"s0": bad})
+
+
+def test_a_small_source_keeps_its_weight(spark):
+    docs = spark.createDataFrame([(i, f"s{i // 2:03d}") for i in range(1200)], "doc_id long, source string")
+    got = mixing.mix_order(docs, {"s599": 50}, block=1).collect()
+    assert {r["slot"] for r in got} == set(range(1200))
+    assert sorted(r["slot"] for r in got if r["source"] == "s599")[-1] < 30
+
+
+def test_thousands_of_sources_follow_their_weights(spark):
+    rng = random.Random(8)
+    weights = {f"s{i:04d}": rng.choice([0.25, 1, 3, rng.uniform(1, 60)]) for i in range(2000)}
+    weights["s0007"] = 4000.0
+    blocks = {s: 400 if s == "s0007" else rng.randint(6, 12) for s in weights}
+    docs = spark.createDataFrame([(i, s) for s, n in blocks.items() for i in range(n)], "doc_id long, source string")
+    got = mixing.mix_order(docs, weights, block=1).orderBy("place").collect()
+    assert [r["slot"] for r in got] == list(range(sum(blocks.values())))
+    assert Counter(r["source"] for r in got) == Counter(blocks)
+    total, done, worst = sum(weights.values()), Counter(), 0.0
+    for slot, r in enumerate(got[: int(0.09 * total)]):  # before a source ends
+        done[r["source"]] += 1
+        for s in {r["source"], "s0007", f"s{slot % 2000:04d}"}:
+            worst = max(worst, abs(done[s] - weights[s] * (slot + 1) / total))
+            assert done[s] < blocks[s]
+    assert worst < 1.2, worst  # below one block, and a part of one for the bucket and for rounding
+
+
+def test_buckets_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHILDREN", 8)
+    rng = random.Random(9)
+    weights = {f"s{i}": rng.choice([0, 0.001, 1, 1, 7, 1000]) for i in range(150)} | {None: 2.5}
+    rows = [(i, s) for s in weights for i in range(rng.randint(1, 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix_order(docs, weights, block=2).collect()
+    assert Counter((r["doc_id"], r["source"]) for r in got) == Counter(rows)
+    slots = {(r["source"], r["block"]): r["slot"] for r in got}
+    assert sorted(slots.values()) == list(range(len(slots)))
+    zero = [x for (s, _), x in slots.items() if weights[s] == 0]
+    assert min(zero) > max(x for (s, _), x in slots.items() if weights[s] > 0)
 
 
 def test_mixed_is_in_order_and_whole(spark):

@@ -22,7 +22,7 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def brute(rows):
+def brute(rows, least=85):
     sets = [(i, shingles(t)) for i, t in rows]
     part = list(range(len(sets)))
 
@@ -34,7 +34,7 @@ def brute(rows):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= least * len(x | y):
                 part[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(sets):

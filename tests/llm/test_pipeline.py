@@ -36,7 +36,7 @@ def test_stages(spark):
     for r in rows[0]:
         best[normalised(r[1])] = min(best.get(normalised(r[1]), r), r, key=order)
     assert sorted(rows[1], key=order) == sorted(best.values(), key=order)
-    groups = test_near_dedup.brute([(r[0], r[1]) for r in rows[1]])
+    groups = test_near_dedup.brute([(r[0], r[1]) for r in rows[1]], corpus_pipeline.NEAR)
     kept = [r for r, (i, n, c) in zip(rows[1], groups, strict=True) if i == c or not n]
     assert sorted(rows[2], key=order) == sorted(kept, key=order)
     assert sorted(rows[3], key=order) == sorted(rows[2], key=order)
