@@ -27,7 +27,7 @@ from meterqa.operators import (
 )
 from meterqa.plans import reports
 from meterqa.schema import COMPLIANCE_VOLUME
-from meterqa.sources import archive, tables
+from meterqa.sources import archive, files, rejects, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -700,3 +700,41 @@ def site_name_functions(spark, d):
         F.trim(F.concat(site, F.lit("  "))).alias("trimmed"),
         names.is_composite(site).cast("int").alias("composite"),
     )
+
+
+# --- files and faults -------------------------------------------------------------------
+
+
+@query
+def rejected_readings(spark, d):
+    """Values of the text readings that are no numbers."""
+    return rejects.rejected(v.text_readings(spark, d), {"value": rejects.NUMBER}, ["site", "measurement", "date_time"])
+
+
+@query
+def rejected_permit_dates(spark, d):
+    kinds = {"from_date": rejects.DATE, "to_date": rejects.DATE, "ext_site_id": rejects.SITE}
+    return rejects.rejected(v.consents_as_text(spark, d), kinds, ["record_number"])
+
+
+@query
+def rejected_sites(spark, d):
+    return rejects.rejected(v.faulty_names(spark, d), {"site": rejects.SITE}, ["swaz_name"])
+
+
+@query
+def report_read_back(spark, d):
+    """Monthly statistics written as a report of two tables, one folder per site, and read through the manifest."""
+    folder = v.work_folder(spark)
+    stats = QUERIES["monthly_stats"](spark, d)
+    versions.write_report({"catalog": v.catalog(spark, d)}, folder, files.write_by_site)
+    versions.write_report({"statistics": stats, "catalog": v.catalog(spark, d)}, folder, files.write_by_site)
+    return versions.read_report(spark, folder, "statistics")
+
+
+@query
+def site_list_read_back(spark, d):
+    """Names written as lines and read as a site list; a name with a comma stays whole."""
+    folder = v.work_folder(spark)
+    v.faulty_names(spark, d).select(F.concat(F.lit('  "'), "site", F.lit('" ')).alias("value")).write.text(folder)
+    return files.read_site_list(spark, folder)

@@ -50,6 +50,7 @@ SELECT {_meter("user_id % 10")} AS site,
        ELSE 'Water Meter' END AS measurement,
   ts AS date_time, {VALUE} AS value
 FROM events"""
+CTES["e_id"] = CTES["e"].replace("SELECT ", "SELECT event_id, ", 1)
 CTES["en"] = CTES["e"].replace(
     f"{VALUE} AS value", f"CASE WHEN event_id % 17 <> 3 AND event_id % 29 <> 5 THEN {VALUE} END AS value"
 )
@@ -735,3 +736,28 @@ FROM (SELECT g.*, q.ma, lim.max_vol, lim.max_rate,
   LEFT JOIN lim ON lim.ext_site_id = split_part(g.site, '-', 1)
   LEFT JOIN ({_ma_join("w_grid")}) q ON q.site = g.site AND q.date = g.date) z""",
 )
+
+
+_FAULTY = f"""(SELECT CASE WHEN n_nationkey % 5 = 4 THEN 'X-' || CAST(n_nationkey AS VARCHAR)
+    WHEN n_nationkey % 7 = 6 THEN {_meter("n_nationkey")} || ',' || {_meter("n_nationkey + 1")}
+    ELSE {_meter("n_nationkey")} END AS site, 'Zone ' || CAST(n_regionkey AS VARCHAR) AS swaz_name FROM nation) f"""
+_add(
+    "rejected_readings",
+    """SELECT site, measurement, date_time, 'value' AS "column",
+  CASE WHEN event_id % 17 = 3 THEN 'NaN' ELSE 'gap' END AS raw,
+  CASE WHEN event_id % 17 = 3 THEN 'not a number' ELSE 'no number' END AS reason
+FROM e_id WHERE event_id % 17 = 3 OR event_id % 29 = 5""",
+)
+_add(
+    "rejected_permit_dates",
+    """SELECT 'CRC' || CAST(o_orderkey AS VARCHAR) AS record_number, 'to_date' AS "column", 'until further notice' AS raw,
+  'no date' AS reason FROM orders WHERE o_orderkey % 100 = 77""",
+)
+_add(
+    "rejected_sites",
+    f"""SELECT swaz_name, 'site' AS "column", site AS raw,
+  CASE WHEN site LIKE '%,%' THEN 'several sites' ELSE 'no site id' END AS reason
+FROM {_FAULTY} WHERE site LIKE '%,%' OR site LIKE 'X-%'""",
+)
+ORACLES["report_read_back"] = ORACLES["monthly_stats"]
+_add("site_list_read_back", f"SELECT site FROM {_FAULTY}")
