@@ -19,7 +19,7 @@ from meterqa.operators import reporting, series, stored_days
 from meterqa.operators.consents import with_dates
 from meterqa.plans import reports
 from meterqa.session import build_session
-from meterqa.sources import archive, files, tables
+from meterqa.sources import archive, files, rejects, tables, versions
 
 
 def _observations(spark: SparkSession, args) -> DataFrame:
@@ -140,9 +140,11 @@ def time_series(spark: SparkSession, args) -> None:
     days = spark.read.schema(days.schema).parquet(f"{args.out}/days")
     if args.export in ("s", "b"):
         processed = series.process_catalog(tables.for_keys(catalog, "site", sites), *window)
-        files.write_statistics(
-            reports.statistics_from_days(days, processed), f"{args.out}/statistics"
-        )
+        sheets = reports.statistics_from_days(days, processed)
+        if args.versioned:
+            versions.write_report(sheets, f"{args.out}/statistics", files.write_by_site)
+        else:
+            files.write_statistics(sheets, f"{args.out}/statistics")
     if args.export in ("p", "b"):
         if args.consents:
             consents = with_dates(_consents(spark, args.consents), args.date_format)
@@ -154,6 +156,9 @@ def time_series(spark: SparkSession, args) -> None:
 
 def meter_list(spark: SparkSession, args) -> None:
     consents = _consents(spark, args.consents)
+    if args.rejects:
+        kinds = {"from_date": rejects.DATE, "to_date": rejects.DATE, "ext_site_id": rejects.SITE}
+        files.write_csv(rejects.rejected(consents, kinds, ["record_number"], args.date_format), args.rejects)
     obs = _observations(spark, args) if args.observations else None
     archive = _archive_sites(spark, args, obs)
     dates = {"date_formats": args.date_format}
@@ -225,7 +230,8 @@ def _parser() -> argparse.ArgumentParser:
         ("--by-measurement", {"action": "store_true"}),
     )
     export = ("--export", {"default": "b", "choices": ["s", "p", "b"]})
-    job("time-series", time_series, site, sites, catalog, consents, dates, grain, export, *window)
+    whole = ("--versioned", {"action": "store_true", "help": "statistics in a folder per run, read through a manifest"})
+    job("time-series", time_series, site, sites, catalog, consents, dates, grain, export, whole, *window)
     job(
         "meter-list",
         meter_list,
@@ -235,6 +241,7 @@ def _parser() -> argparse.ArgumentParser:
         ("--record-numbers", {}),
         ("--where", {"help": "column=value;value"}),
         ("--ext-sites", {}),
+        ("--rejects", {"help": "folder for permit values that are no dates or sites"}),
         dates,
         observations="optional",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterqa import jobs, schema
 from meterqa.functions.names import is_composite
-from meterqa.sources import files, tables
+from meterqa.sources import files, tables, versions
 from tests.conftest import rows, ts
 from tests.tables import CONSENTS, EXT_SITES, read_back
 
@@ -156,6 +156,15 @@ def test_time_series_job(spark, stored, tmp_path):
     assert series.first().ref_line == 85.7
 
 
+def test_statistics_of_several_runs(spark, stored, tmp_path):
+    args = ("--observations", f"{stored}/obs", "--site", "BU24/0001-M1", "--export", "s", "--versioned")
+    for window in ((), ("--from-date", "2024-01-05", "--to-date", "2024-01-14")):
+        out = run(stored, tmp_path / "v", "time-series", *args, *window)
+    assert len(os.listdir(f"{out}/statistics/runs")) == 2
+    monthly = versions.read_report(spark, f"{out}/statistics", "monthly_statistics")
+    assert rows(monthly.select("days_with_data", "total_reports")) == [(10, 240)]
+
+
 def test_statistics_only_and_unknown_site(stored, tmp_path):
     args = ("--observations", f"{stored}/obs", "--export", "s")
     out = run(stored, tmp_path / "s", "time-series", *args)
@@ -188,6 +197,20 @@ def test_meter_list_job(spark, stored, tmp_path):
         run(stored, tmp_path / "none", "meter-list", *base)
 
 
+def test_meter_list_job_tells_rejects(spark, stored, tmp_path):
+    permits = spark.read.parquet(f"{stored}/consents")
+    text = permits.withColumn("to_date", F.lit("soon")).withColumn("from_date", F.col("from_date").cast("string"))
+    text.write.parquet(str(tmp_path / "permits"))
+    run(
+        stored, tmp_path / "list", "meter-list", "--observations", f"{stored}/obs", "--consents", str(tmp_path / "permits"),
+        "--site-ids", f"{stored}/ids.csv", "--rejects", str(tmp_path / "rejects"),
+    )
+    found = spark.read.option("header", True).csv(str(tmp_path / "rejects"))
+    assert found.columns == ["record_number", "column", "raw", "reason"]
+    assert rows(found.select("column", "raw", "reason").distinct()) == [("to_date", "soon", "no date")]
+    assert found.count() == permits.count()
+
+
 def test_warehouse_job(spark, stored, tmp_path):
     out = run(
         stored, tmp_path / "w", "warehouse-daily", "--warehouse", f"{stored}/wh",
