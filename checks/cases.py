@@ -14,11 +14,13 @@ from meterqa.functions import names, units
 from meterqa.functions.rounding import round_half_even, truncate
 from meterqa.operators import consents as con
 from meterqa.operators import (
+    accounts,
     day_bitmaps,
     day_states,
     grids,
     meters,
     reporting,
+    rolling,
     series,
     stored_days,
     summaries,
@@ -27,7 +29,7 @@ from meterqa.operators import (
 )
 from meterqa.plans import reports
 from meterqa.schema import COMPLIANCE_VOLUME
-from meterqa.sources import archive, files, rejects, tables, versions
+from meterqa.sources import archive, files, layout, rejects, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -202,6 +204,24 @@ def register_to_volume(spark, d):
     return _stitched(spark, d).select("site", "measurement", "date_time", "value", "vol")
 
 
+@query
+def register_to_volume_laid_out(spark, d):
+    """The same from an archive of months and buckets."""
+    folder = v.work_folder(spark)
+    name = f"laid_out_{folder.rsplit('/', 1)[-1]}"
+    layout.lay_out(v.readings(spark, d), name, folder, 8)
+    found = layout.laid_out_volumes(spark, name, _plan(spark, d))
+    return found.select("site", "measurement", "date_time", "value", "vol")
+
+
+@query
+def reading_accounts(spark, d):
+    """What became of every reading of the stitched series; some readings have no value."""
+    rows = v.text_readings(spark, d)
+    plan = _plan(spark, d)
+    return accounts.reading_accounts(rows, plan, day_states.flagged_days(rows, plan, grain=v.GRAIN))
+
+
 @query
 def register_to_volume_reset(spark, d):
     rows = volumes.register_to_volume(v.readings(spark, d), boundary="reset", grain=v.GRAIN)
@@ -323,6 +343,21 @@ def moving_avg_consent(spark, d):
     return rounded(averaged.select("site", "date", "return_period", "ma"), 6, "ma")
 
 
+@query
+def rolling_avg_hourly(spark, d):
+    """The last 24 hours of every hour with a reading, where 12 of them have one."""
+    hours = rolling.step_totals(v.all_volumes(spark, d), 3600)
+    return rounded(rolling.rolling_average(hours, 3600, 24, 12, chunk=100), 6, "volume", "ma")
+
+
+@query
+def rolling_avg_by_period(spark, d):
+    """Quarter hours, over each site's own number of hours of two to seven."""
+    own = F.col("site").substr(3, 2).cast("int") % 6
+    steps = rolling.step_totals(v.all_volumes(spark, d), 900).withColumn("period", 4 * (2 + own))
+    return rounded(rolling.rolling_average(steps, 900, "period", 3), 6, "volume", "ma")
+
+
 # --- statistics -----------------------------------------------------------------------
 
 

@@ -379,6 +379,18 @@ _add(
 )
 _add("stitched_series", "SELECT * FROM stitched")
 _add("register_to_volume", "SELECT site, measurement, date_time, value, vol FROM vol_c")
+_add("register_to_volume_laid_out", "SELECT site, measurement, date_time, value, vol FROM vol_c")
+_add(
+    "reading_accounts",
+    """SELECT a.site, a.measurement, a.readings, coalesce(planned, 0) AS planned, coalesce(no_value, 0) AS no_value,
+  coalesce(kept, 0) AS kept, coalesce(negative, 0) AS negative, coalesce(no_volume, 0) AS no_volume,
+  CAST(0 AS BIGINT) AS unexplained
+FROM (SELECT site, measurement, count(*) AS readings FROM en GROUP BY site, measurement) a LEFT JOIN (
+  SELECT site, measurement, count(*) AS planned, count(*) FILTER (value IS NULL) AS no_value,
+    count(*) FILTER (vol >= 0) AS kept, count(*) FILTER (vol < 0) AS negative,
+    count(*) FILTER (value IS NOT NULL AND vol IS NULL) AS no_volume FROM vol_n GROUP BY site, measurement) b
+  ON a.site = b.site AND a.measurement = b.measurement""",
+)
 _add("register_to_volume_reset", "SELECT site, measurement, date_time, value, vol FROM vol_r")
 _add(
     "negatives_by_month",
@@ -498,6 +510,20 @@ JOIN {grid} p ON p.site = g.site AND p.date > g.date - CAST(lim.return_period AS
 GROUP BY g.site, g.date"""
 
 
+def _rolling(minutes: int, period: str, need: int) -> str:
+    """Average over the last steps that have a value, by joining each step to its steps."""
+    return f"""WITH h AS (SELECT site, date, CAST(floor((hour(date_time) * 60 + minute(date_time)) / {minutes}) AS INTEGER) AS step,
+    count(vol) AS readings, sum(vol) AS volume FROM ev GROUP BY ALL),
+p AS (SELECT *, date_diff('day', DATE '1970-01-01', date) * {1440 // minutes} + step AS at, {period} AS period FROM h)
+SELECT a.site, {iso("a.date")} AS date, a.step, any_value(a.readings) AS readings, {even("any_value(a.volume)", 6)} AS volume,
+  any_value(a.period) AS period, {even(f"CASE WHEN count(b.volume) >= {need} THEN avg(b.volume) END", 6)} AS ma
+FROM p a JOIN p b ON a.site = b.site AND b.at > a.at - a.period AND b.at <= a.at GROUP BY a.site, a.date, a.step"""
+
+
+_add("rolling_avg_hourly", _rolling(60, "24", 12).replace("  any_value(a.period) AS period, ", "  "))
+_add("rolling_avg_by_period", _rolling(15, "CAST(4 * (2 + CAST(substr(site, 3, 2) AS INTEGER) % 6) AS INTEGER)", 3))
+
+
 _add(
     "moving_avg_consent",
     f"""SELECT g.site, {iso("g.date")} AS date, lim.return_period, {even("q.ma", 6)} AS ma FROM l_grid g

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from meterqa import schema
 from meterqa.functions.calendar import parse_day
 from meterqa.functions.names import is_composite
-from meterqa.operators import reporting, series, stored_days
+from meterqa.operators import accounts, reporting, series, stored_days
 from meterqa.operators.consents import with_dates
 from meterqa.plans import reports
 from meterqa.session import build_session
@@ -129,7 +129,7 @@ def quality(spark: SparkSession, args) -> None:
 def time_series(spark: SparkSession, args) -> None:
     """Statistics tables (``s``), daily series for plots (``p``) or both (``b``).
 
-    The day rows are written first and everything else is built from them.
+    The day rows are written first and everything else is built from them. With ``--accounts`` they must account for every reading.
     """
     obs = _observations(spark, args)
     catalog = _catalog(spark, args, obs)
@@ -138,6 +138,10 @@ def time_series(spark: SparkSession, args) -> None:
     days = reports.stitched_days(obs, catalog, sites, *window, grain=args.grain)
     days.write.mode("overwrite").parquet(f"{args.out}/days")
     days = spark.read.schema(days.schema).parquet(f"{args.out}/days")
+    if args.accounts:
+        plan = series.stitch_plan(series.process_catalog(tables.for_keys(catalog, "site", sites), *window))
+        files.write_csv(accounts.reading_accounts(tables.for_keys(obs, "site", sites), plan, days), args.accounts)
+        accounts.require_balance(accounts.read_accounts(spark, args.accounts))
     if args.export in ("s", "b"):
         processed = series.process_catalog(tables.for_keys(catalog, "site", sites), *window)
         sheets = reports.statistics_from_days(days, processed)
@@ -231,7 +235,8 @@ def _parser() -> argparse.ArgumentParser:
     )
     export = ("--export", {"default": "b", "choices": ["s", "p", "b"]})
     whole = ("--versioned", {"action": "store_true", "help": "statistics in a folder per run, read through a manifest"})
-    job("time-series", time_series, site, sites, catalog, consents, dates, grain, export, whole, *window)
+    balance = ("--accounts", {"help": "folder for what became of every reading; the job fails where some are lost"})
+    job("time-series", time_series, site, sites, catalog, consents, dates, grain, export, whole, balance, *window)
     job(
         "meter-list",
         meter_list,
