@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,14 +95,45 @@ def site_list(observations: DataFrame) -> DataFrame:
     return observations.select(F.col("site").alias("site_name")).distinct()
 
 
+#: Names that cut a table of sites into ranges: the ones of smallest hash. A power of two, less one.
+CUTS = 255
+
+
 def site_slice(sites: DataFrame, start: int, stop: int) -> DataFrame:
-    """Sites at positions ``start`` to ``stop - 1`` in name order.
+    """Sites at positions ``start`` to ``stop - 1`` in name order, nulls first.
 
-    Limit and offset after a sort is a bounded top-k: a task keeps at most
-    ``stop`` names.
+    Some names, always the same of the same table, cut it into ranges. Ranges are counted, and only the names of those that
+    the slice touches are shuffled and numbered, each range by itself. So a slice deep in a long table meets no task with
+    all names before it; what a task holds is one range. Equal names lie in one range, in any order among themselves.
     """
+    if start < 0:
+        raise ValueError("positions count from 0")
     name = sites.columns[0]
-    return sites.orderBy(name).offset(start).limit(stop - start)
+    range_, first, cuts = (_free(sites, c) for c in ("_range", "_first", "_cuts"))
+    some = sites.select(F.col(name).alias("n")).filter("n is not null").orderBy(F.xxhash64("n"), "n").limit(CUTS)
+    bounds = some.agg(F.sort_array(F.collect_set("n"))).scalar()
+    # The number of cuts below the name, found by halving; there are ``CUTS`` at most.
+    halves = F.array(*[F.lit(2**i) for i in reversed(range(CUTS.bit_length()))])
+    found = F.aggregate(
+        halves, F.lit(0), lambda at, half: F.when(F.get(cuts, at + half - 1) < F.col(name), at + half).otherwise(at)
+    )
+    dealt = sites.withColumn(cuts, bounds).withColumn(range_, found).drop(cuts)
+    counts = dealt.groupBy(F.col(range_).alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per range, whatever the table.
+    before = W.orderBy("r").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("r", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("f"))
+    touched = starts.filter((F.col("f") < stop) & (F.col("f") + F.col("n") > start))
+    firsts = touched.agg(F.map_from_entries(F.collect_list(F.struct("r", "f")))).scalar()
+    near = dealt.withColumn(first, F.try_element_at(firsts, F.col(range_))).filter(F.col(first).isNotNull())
+    at = F.col(first) + F.row_number().over(W.partitionBy(range_).orderBy(name)) - 1
+    placed = near.withColumn(first, at).filter(F.col(first).between(start, stop - 1))
+    return placed.orderBy(first).select(*sites.columns)
+
+
+def _free(df: DataFrame, wish: str) -> str:
+    while wish in df.columns:
+        wish = f"_{wish}"
+    return wish
 
 
 def external_sites(
