@@ -6,17 +6,21 @@
    their square. A cluster's middle text is such a centre in nearly all its buckets.
 3. Pairs whose sizes rule out the similarity are dropped, then those that the joint likelihood of their registers makes next to
    impossible; the rest are confirmed on their full sets.
-4. Buckets that still hold several components have all pairs across components estimated and confirmed within tasks, in blocks of
-   bounded size, so that no link is lost because it misses a centre. Only links leave a task.
+4. Buckets that still hold several components have all pairs across components estimated and confirmed within tasks, so that no
+   link is lost because it misses a centre. Only links leave a task.
+5. Of larger buckets the classes meet by their rarest shingles instead: two sets with enough in common share one among the
+   first of each, in any order of all shingles that is the same for both. A family of texts that share a template, but too little
+   to be linked, has the template's shingles last in that order, and so does not meet at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +37,14 @@ LEAST = 85
 SLACK = 14.0
 #: Members of a centre are confirmed in so many parts.
 SALTS = 32
-#: Rows of a bucket that are compared at once across components.
+#: Rows that are compared at once across components; larger buckets meet by rare shingles.
 BLOCK = 1024
+#: Counts that order shingles by rarity: so many, whatever the input. Shingles of one cell count as equally rare.
+CELLS = 2**20
 #: Equal registers that any pair of the likelihood test has, at most; a quick test before it (``_least_equal``).
 EQUAL = 64
+#: What a row is compared as in a block of a rare shingle: the larger set, the smaller one, or either.
+PROBE, INDEX, BOTH = 0, 1, 2
 #: Columns of an incidence matrix at once.
 COLUMNS = 4096
 
@@ -132,53 +140,118 @@ def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return total
 
 
+def _similar(sketches: tuple, sizes: tuple, least: int) -> np.ndarray:
+    """Places of the pairs that the likelihood of their registers does not rule out."""
+    enough = np.flatnonzero((sketches[0] == sketches[1]).sum(axis=1) >= _least_equal(least))
+    (a, b), (n, m) = ([x[enough] for x in pair] for pair in (sketches, sizes))
+    _, lost = setsketch.joint_likelihood(a, b, n, m, least / 100)
+    return enough[lost <= SLACK]
+
+
 def _block_links(rows: list[tuple], least: int) -> pa.RecordBatch | None:
-    """Links between classes of different components in one bucket, or between two blocks of it."""
+    """Links between classes of different components in one bucket."""
     node, root, band = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
     size = np.array([r[3] for r in rows], float)
-    side = np.array([r[4] for r in rows])
     could = np.triu(root[:, None] != root, 1)
     could &= least * np.maximum(size[:, None], size) <= 100 * np.minimum(size[:, None], size)
-    if side.any():
-        could &= side[:, None] != side
     i, j = np.nonzero(could)
     if not len(i):
         return None
-    sketch = np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(len(rows), setsketch.M)
+    sketch = np.frombuffer(b"".join(r[4] for r in rows), "<u2").reshape(len(rows), setsketch.M)
     kept: list[np.ndarray] = []
     for at in range(0, len(i), 8192):
         a, b = i[at : at + 8192], j[at : at + 8192]
-        same = sketch[a] == sketch[b]
-        bands = same[:, : setsketch.BANDS * setsketch.ROWS].reshape(len(a), setsketch.BANDS, -1).all(axis=2)
+        bands = (sketch[a] == sketch[b])[:, : setsketch.BANDS * setsketch.ROWS]
         # A pair belongs to the first band that it shares.
-        own = np.flatnonzero((bands.argmax(axis=1) == band[a]) & (same.sum(axis=1) >= _least_equal(least)))
-        _, lost = setsketch.joint_likelihood(sketch[a[own]], sketch[b[own]], size[a[own]], size[b[own]], least / 100)
-        kept.append(at + own[lost <= SLACK])
+        own = np.flatnonzero(bands.reshape(len(a), setsketch.BANDS, -1).all(axis=2).argmax(axis=1) == band[a])
+        a, b = a[own], b[own]
+        kept.append(at + own[_similar((sketch[a], sketch[b]), (size[a], size[b]), least)])
     some = np.concatenate(kept)
     if not len(some):
         return None
     i, j = i[some], j[some]
-    common = _common([np.frombuffer(r[6], np.uint64) for r in rows], i, j)
+    common = _common([np.frombuffer(r[5], np.uint64) for r in rows], i, j)
     linked = 100 * common >= least * (size[i] + size[j] - common)
-    i, j = node[i[linked]], node[j[linked]]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
+    return _pairs(node[i[linked]], node[j[linked]])
 
 
-def _across(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket; one bucket, or one pair of its blocks, is held at a time.
+def _pairs(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
 
-    A row's ``side`` tells which block of the pair it is in; with one block, its rows meet each other.
-    """
+
+def _by_group(batches: Iterator[pa.RecordBatch], least: int, found: Callable) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by their first column; ``found`` gets one group of it at a time."""
     held, rows = None, []
     for batch in batches:
-        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != held:
-                if len(rows) > 1 and (links := _block_links(rows, least)):
-                    yield links
-                held, rows = bucket, []
+        for group, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if group != held:
+                if len(rows) > 1 and (pairs := found(rows, least)):
+                    yield pairs
+                held, rows = group, []
             rows.append(row)
-    if len(rows) > 1 and (links := _block_links(rows, least)):
-        yield links
+    if len(rows) > 1 and (pairs := found(rows, least)):
+        yield pairs
+
+
+def _cell_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for _, _, offsets, data in text_runs(batch.column(0)):
+            counts += np.bincount(_cell_of(shingle_sets(offsets, data)[1]), minlength=CELLS)
+    cells = np.flatnonzero(counts)
+    for at in range(0, len(cells), 65536):
+        some = cells[at : at + 65536]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["cell", "times"])
+
+
+def _rarest(batches: Iterator[pa.RecordBatch], least: int, counts: Broadcast) -> Iterator[pa.RecordBatch]:
+    """The first shingles of each set, rare ones first: as many as it takes to meet any set linked with it.
+
+    Linked sets of n and m <= n have at least least*n/100, and at least 2*least*m/(100+least), in common; so the larger one's first
+    shingles but for so many, and the smaller one's, share one. The latter are ``indexed``.
+    """
+    times = counts.value
+    for batch in batches:
+        for first, after, offsets, data in text_runs(batch.column(0)):
+            edges, shingles = shingle_sets(offsets, data)
+            n = np.diff(edges).astype(np.int64)
+            row = np.repeat(np.arange(after - first), n)
+            order = np.lexsort((shingles, times[_cell_of(shingles)], row))
+            place = np.arange(len(row)) - np.asarray(edges)[:-1][row]
+            meets = place <= (n + (-least * n) // 100)[row]
+            indexed = place <= (n + (-2 * least * n) // (100 + least))[row]
+            taken = row[meets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shingles[order][meets].view(np.int64)),
+                    *(c.slice(first, after - first).take(pa.array(taken)) for c in batch.columns[1:]),
+                    pa.array(n[taken]),
+                    pa.array(indexed[meets]),
+                ],
+                names=["token", *batch.schema.names[1:], "n", "indexed"],
+            )
+
+
+def _candidates(rows: list[tuple], least: int) -> pa.RecordBatch | None:
+    """Pairs across components of one rare shingle that may be similar: an indexed class, and a larger one."""
+    smaller, larger = [r for r in rows if r[0] != PROBE], [r for r in rows if r[0] != INDEX]
+    if not smaller or not larger:
+        return None
+    node, root, n = (np.array([r[k] for r in smaller], np.int64) for k in (1, 2, 3))
+    node2, root2, m = (np.array([r[k] for r in larger], np.int64) for k in (1, 2, 3))
+    ordered = (n[:, None] < m) | ((n[:, None] == m) & (node[:, None] < node2))
+    i, j = np.nonzero(ordered & (root[:, None] != root2) & (100 * n[:, None] >= least * m))
+    a, b = (np.frombuffer(b"".join([r[4] for r in s]), "<u2").reshape(len(s), setsketch.M) for s in (smaller, larger))
+    kept = [np.empty(0, np.int64)]
+    for at in range(0, len(i), 8192):
+        x, y = i[at : at + 8192], j[at : at + 8192]
+        kept.append(at + _similar((a[x], b[y]), (n[x].astype(float), m[y].astype(float)), least))
+    some = np.concatenate(kept)
+    return _pairs(node[i[some]], node2[j[some]]) if len(some) else None
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -265,29 +338,66 @@ def links_of(classes: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFra
     # What is left: buckets with several components.
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("met"))
-    open_ = mixed.filter("x != y and met > 2").select("key", F.ceil(F.col("met") / BLOCK).alias("blocks"))
-    block = F.pmod(F.xxhash64("node", F.lit(13)), F.col("blocks"))
-    left = written(
-        rooted.select("key", "node", "root", "band", "n").join(open_, "key").withColumn("block", block)
-    )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    spread = left.withColumn("other", other).select(
-        F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"),
-        "node",
-        "root",
-        "band",
-        "n",
-        (F.col("block") > F.col("other")).alias("side"),
-    )
-    sets = _texts(left.select("node"), classes, docs).mapInArrow(_set_bytes, "node long, set binary")
-    met = spread.join(classes.select("node", "sketch").join(sets, "node"), "node")
-    dealt = met.select("bucket", "node", "root", "band", "n", "side", "sketch", "set").repartition("bucket")
-    more = written(dealt.sortWithinPartitions("bucket").mapInArrow(partial(_across, least=least), "a long, b long").distinct())
+    open_ = mixed.filter("x != y and met > 2").select("key", (F.col("met") > BLOCK).alias("crowded"))
+    left = written(rooted.select("key", "node", "root", "band", "n").join(open_, "key"))
+    few, crowd = left.filter("not crowded"), left.filter("crowded").select("node", "root").distinct()
+    sets = _texts(few.select("node"), classes, docs).mapInArrow(_set_bytes, "node long, set binary")
+    met = few.join(classes.select("node", "sketch").join(sets, "node"), "node")
+    dealt = met.select("key", "node", "root", "band", "n", "sketch", "set").repartition("key").sortWithinPartitions("key")
+    more = written(dealt.mapInArrow(partial(_by_group, least=least, found=_block_links), "a long, b long").distinct())
+    if crowd.limit(1).count():
+        more = more.union(_crowd_links(crowd, classes, docs, least))
     if not more.limit(1).count():
         return roots
     return components(links.union(more))
 
 
+def _rare_rows(crowd: DataFrame, classes: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+    """(block, role, node, root, n): classes that meet by a rare shingle, in blocks; each pair of a shingle is in one.
+
+    A shingle with more rows than a block has its larger and its indexed sides cut apart: rows of the one go out once per block of
+    the other. The shingles that many share are first of few sets, so that few blocks have another side of more than one.
+    """
+    texts = written(_texts(crowd.select("node"), classes, docs))
+    cells = texts.select("text").mapInArrow(_cell_counts, "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times"))
+    found = cells.toArrow()
+    times = np.zeros(CELLS, np.int64)
+    times[found["cell"].to_numpy()] = found["times"].to_numpy()
+    counts = docs.sparkSession.sparkContext.broadcast(times)
+    rows = texts.join(crowd, "node").select("text", "node", "root")
+    fields = "token long, node long, root long, n long, indexed boolean"
+    tokens = written(rows.mapInArrow(partial(_rarest, least=least, counts=counts), fields))
+    groups = tokens.groupBy("token").agg(
+        F.ceil(F.count("*") / BLOCK).alias("larger"),
+        F.ceil(F.count_if("indexed") / BLOCK).alias("smaller"),
+        F.min("root").alias("x"),
+        F.max("root").alias("y"),
+    )
+    met = tokens.join(groups.filter("x != y and smaller > 0").select("token", "larger", "smaller"), "token")
+    place, zero = F.xxhash64("node", F.lit(13)), F.lit(0).cast("long")
+
+    def block(p, q, role):
+        return F.struct(F.xxhash64("token", p, q).alias("block"), F.lit(role).alias("role"))
+
+    def across(blocks, fn):
+        return F.transform(F.sequence(zero, F.col(blocks) - 1), fn)
+
+    probe = across("smaller", lambda q: block(F.pmod(place, F.col("larger")), q, PROBE))
+    index = across("larger", lambda p: block(p, F.pmod(place, F.col("smaller")), INDEX))
+    one = F.array(F.when(F.col("indexed"), block(zero, zero, BOTH)).otherwise(block(zero, zero, PROBE)))
+    cut = F.when(F.col("indexed"), F.concat(probe, index)).otherwise(probe)
+    sent = F.explode(F.when((F.col("larger") == 1) & (F.col("smaller") == 1), one).otherwise(cut)).alias("sent")
+    return met.select(sent, "node", "root", "n").select("sent.block", "sent.role", "node", "root", "n")
+
+
+def _crowd_links(crowd: DataFrame, classes: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+    """Links (a, b) across the components of (node, root), however many classes there are."""
+    met = _rare_rows(crowd, classes, docs, least).join(classes.select("node", "sketch"), "node")
+    dealt = met.select("block", "role", "node", "root", "n", "sketch").repartition("block").sortWithinPartitions("block")
+    pairs = dealt.mapInArrow(partial(_by_group, least=least, found=_candidates), "a long, b long").distinct()
+    return _confirm(written(pairs), classes, docs, least)
+
+
 def _grouped(docs: DataFrame, least: int) -> DataFrame:
     """(id, row, s, t, n, component, first): rows with their component's smallest id and the row that stays for it."""
     rows = sketched(docs)
