@@ -305,10 +305,8 @@ def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return wanted.join(some, ["s", "t"]).select("node", "text")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Links (a, b) among ``pairs`` whose full sets are similar enough. ``pairs`` are shuffled with the texts of b, once each."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    texts = written(_texts(nodes, classes, docs))
     parted = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
     members = parted.join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
     centres = parted.select("a", "part").distinct().join(texts.withColumnRenamed("node", "a"), "a")
@@ -333,7 +331,8 @@ def links_of(classes: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFra
     sketches = classes.select("node", "sketch")
     beside = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
     likely = written(beside.select("a", "b", "n", "m", "sketch_a", "sketch_b").mapInArrow(partial(_likely, least=least), "a long, b long"))
-    links = _confirm(likely, classes, docs, least)
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node")))
+    links = _confirm(likely, written(_texts(nodes, classes, docs)), least)
     roots = components(links)
     # What is left: buckets with several components.
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -341,30 +340,33 @@ def links_of(classes: DataFrame, docs: DataFrame, least: int = LEAST) -> DataFra
     open_ = mixed.filter("x != y and met > 2").select("key", (F.col("met") > BLOCK).alias("crowded"))
     left = written(rooted.select("key", "node", "root", "band", "n").join(open_, "key"))
     few, crowd = left.filter("not crowded"), left.filter("crowded").select("node", "root").distinct()
-    sets = _texts(few.select("node"), classes, docs).mapInArrow(_set_bytes, "node long, set binary")
+    crowded = crowd.limit(1).count()
+    texts = _texts(left.select("node"), classes, docs)
+    if crowded:
+        texts = written(texts)
+    sets = texts.mapInArrow(_set_bytes, "node long, set binary")
     met = few.join(classes.select("node", "sketch").join(sets, "node"), "node")
     dealt = met.select("key", "node", "root", "band", "n", "sketch", "set").repartition("key").sortWithinPartitions("key")
     more = written(dealt.mapInArrow(partial(_by_group, least=least, found=_block_links), "a long, b long").distinct())
-    if crowd.limit(1).count():
-        more = more.union(_crowd_links(crowd, classes, docs, least))
+    if crowded:
+        more = more.union(_crowd_links(crowd, classes, texts, least))
     if not more.limit(1).count():
         return roots
     return components(links.union(more))
 
 
-def _rare_rows(crowd: DataFrame, classes: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+def _rare_rows(crowd: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """(block, role, node, root, n): classes that meet by a rare shingle, in blocks; each pair of a shingle is in one.
 
     A shingle with more rows than a block has its larger and its indexed sides cut apart: rows of the one go out once per block of
     the other. The shingles that many share are first of few sets, so that few blocks have another side of more than one.
     """
-    texts = written(_texts(crowd.select("node"), classes, docs))
-    cells = texts.select("text").mapInArrow(_cell_counts, "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times"))
+    rows = texts.join(crowd, "node").select("text", "node", "root")
+    cells = rows.select("text").mapInArrow(_cell_counts, "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times"))
     found = cells.toArrow()
     times = np.zeros(CELLS, np.int64)
     times[found["cell"].to_numpy()] = found["times"].to_numpy()
-    counts = docs.sparkSession.sparkContext.broadcast(times)
-    rows = texts.join(crowd, "node").select("text", "node", "root")
+    counts = texts.sparkSession.sparkContext.broadcast(times)
     fields = "token long, node long, root long, n long, indexed boolean"
     tokens = written(rows.mapInArrow(partial(_rarest, least=least, counts=counts), fields))
     groups = tokens.groupBy("token").agg(
@@ -390,12 +392,12 @@ def _rare_rows(crowd: DataFrame, classes: DataFrame, docs: DataFrame, least: int
     return met.select(sent, "node", "root", "n").select("sent.block", "sent.role", "node", "root", "n")
 
 
-def _crowd_links(crowd: DataFrame, classes: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+def _crowd_links(crowd: DataFrame, classes: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Links (a, b) across the components of (node, root), however many classes there are."""
-    met = _rare_rows(crowd, classes, docs, least).join(classes.select("node", "sketch"), "node")
+    met = _rare_rows(crowd, texts, least).join(classes.select("node", "sketch"), "node")
     dealt = met.select("block", "role", "node", "root", "n", "sketch").repartition("block").sortWithinPartitions("block")
     pairs = dealt.mapInArrow(partial(_by_group, least=least, found=_candidates), "a long, b long").distinct()
-    return _confirm(written(pairs), classes, docs, least)
+    return _confirm(written(pairs), texts, least)
 
 
 def _grouped(docs: DataFrame, least: int) -> DataFrame:

@@ -199,7 +199,8 @@ def test_linked_sets_share_a_rare_shingle(spark, least):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     classes = near_dedup.written(near_dedup.classes_of(near_dedup.sketched(docs)))
     crowd = classes.select("node", F.col("node").alias("root"))
-    links = near_dedup._crowd_links(crowd, classes, docs, least)
+    texts = near_dedup.written(near_dedup._texts(crowd.select("node"), classes, docs))
+    links = near_dedup._crowd_links(crowd, classes, texts, least)
     sets, want = sorted({shingles(t) for _, t in rows}, key=sorted), 0
     for a in range(len(sets)):
         want += sum(100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) for b in range(a))
