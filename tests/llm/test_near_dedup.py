@@ -7,7 +7,6 @@ import cases
 import corpus_pipeline
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from meterqa.llm import near_dedup, setsketch
 from meterqa.llm.graph import components
@@ -151,57 +150,3 @@ def test_threshold_is_the_callers(spark):
     assert near_dedup.near_groups(docs).filter("kept").count() == 40
     assert cases.tuples(near_dedup.near_groups(docs, 80).filter("kept"), "doc_id") == [(i,) for i in range(0, 40, 2)]
     assert cases.tuples(corpus_pipeline.near(spark, docs, ""), "doc_id") == [(i,) for i in range(0, 40, 2)]
-
-
-def family(rng, size):
-    """Texts that share a template, with about 0.7 of their shingles in common, and every eleventh with a near copy in it."""
-    template, rows = cases.prose(rng, 200).split(), []
-    for i in range(size):
-        own = [f"w{rng.randrange(10**9)}" for _ in range(rng.randint(38, 50))]
-        rows.append((2 * i, " ".join([*template[:100], *own, *template[100:]])))
-        if i % 11 == 0:
-            rows.append((2 * i + 1, " ".join([*template[:100], *own, *template[100:], f"end{i}"])))
-    return rows
-
-
-def test_family_of_a_template_does_not_meet_all_its_texts(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 32)
-    sent = []
-    rare_rows = near_dedup._rare_rows
-
-    def counted(*args):
-        found = rare_rows(*args)
-        sent.append(found.count())
-        return found
-
-    monkeypatch.setattr(near_dedup, "_rare_rows", counted)
-    for size in (300, 900):
-        rows = family(random.Random(size), size)
-        got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))
-        own = {i for i, _ in rows}
-        want = [(i, i - 1 if i % 2 else i) for i in sorted(own)]
-        assert cases.tuples(got, "doc_id", "component_id") == want
-        assert sent[-1] <= size
-    assert len(sent) == 2
-
-
-@pytest.mark.parametrize("least", [80, 85])
-def test_linked_sets_share_a_rare_shingle(spark, least):
-    """The first shingles of any two linked sets meet, whatever their sizes and the counts of shingles."""
-    rng = random.Random(least)
-    base = [f"b{k}" for k in range(260)]
-    rows = []
-    for i in range(120):
-        words = list(base[: rng.randint(200, 260)])
-        for _ in range(rng.randint(0, 9)):
-            words[rng.randrange(len(words))] = f"new{rng.randrange(40)}"
-        rows.append((i, " ".join(words)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    classes = near_dedup.written(near_dedup.classes_of(near_dedup.sketched(docs)))
-    crowd = classes.select("node", F.col("node").alias("root"))
-    texts = near_dedup.written(near_dedup._texts(crowd.select("node"), classes, docs))
-    links = near_dedup._crowd_links(crowd, classes, texts, least)
-    sets, want = sorted({shingles(t) for _, t in rows}, key=sorted), 0
-    for a in range(len(sets)):
-        want += sum(100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) for b in range(a))
-    assert links.count() == links.distinct().count() == want > 50
